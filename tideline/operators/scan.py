@@ -21,6 +21,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tideline.functions.buckets import MINUTE_US, floor_div, micros
+from tideline.functions.exprs import any_null
 
 _SLICE = "_slice"
 _ROW = "_row"
@@ -114,13 +115,15 @@ def asof_join(
     """Backward as-of join: the latest right row with ``right_on <= left_on`` per key.
 
     Equal instants match; several right rows at one instant resolve to the last
-    in ``ties`` order (columns of ``right``). Unmatched left rows keep NULLs. One
-    tagged union and a running "last" replace the range join.
+    in ``ties`` order (columns of ``right``). Unmatched left rows keep NULLs, and a
+    NULL key matches nothing. One tagged union and a running "last" replace the
+    range join.
     """
     keep = left.columns
     tie_names = [f"_tie{i}" for i in range(len(ties))]
     probe = left.withColumns({"_at": F.col(left_on), "_side": F.lit(1)})
-    found = right.where(F.col(right_on).isNotNull()).select(
+    known = F.col(right_on).isNotNull() & ~any_null(by)
+    found = right.where(known).select(
         *by,
         F.col(right_on).alias("_at"),
         F.lit(0).alias("_side"),
