@@ -113,12 +113,14 @@ def report(
 ) -> DataFrame:
     """Resampled usage of both collectors to three file formats; returns it wide."""
     current = {
-        s: site_usage(spark, s, path, spec, cut=cut) for s, path in sites.items()
+        s: site_usage(spark, s, path, spec, interval, cut=cut)
+        for s, path in sites.items()
     }
+    context = UsageSpec(("metric", "resource"), spec.time_range)
     legacy = {
-        s: legacy_usage_counts(read_daily_cache(spark, path))
+        s: resample(legacy_usage_counts(read_daily_cache(spark, path)), interval, context)
         for s, path in legacy_caches.items()
     }
-    usage = materialise(resample(combine_collectors(current, legacy), interval, spec))
+    usage = materialise(combine_collectors(current, legacy))
     write_report(usage, folder)
     return to_wide(usage, ["metric", "collector_type"])
