@@ -196,6 +196,15 @@ VIEWS = {
                CAST(24 * count(*) AS DOUBLE) AS total_hours
         FROM {orders} GROUP BY o_orderdate, o_orderpriority
     """,
+    "event_cache": """
+        SELECT CAST(CAST(ts AS DATE) AS TIMESTAMP) AS date, event_type AS node_type,
+               CAST(1 * count(*) AS DOUBLE) AS maint_hours,
+               CAST(5 * count(*) AS DOUBLE) AS reserved_hours,
+               CAST(7 * count(*) AS DOUBLE) AS used_hours,
+               CAST(2 * count(*) AS DOUBLE) AS idle_hours,
+               CAST(24 * count(*) AS DOUBLE) AS total_hours
+        FROM {events} GROUP BY CAST(CAST(ts AS DATE) AS TIMESTAMP), event_type
+    """,
     "projects": """
         SELECT concat('p', CAST(CAST(floor(c_custkey / 30) AS BIGINT) AS STRING)) AS id,
                min(c_name) AS name
