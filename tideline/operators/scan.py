@@ -35,16 +35,14 @@ class Measure:
     kind: str
     column: str
 
-    def total(self, order: Column) -> Column:
-        value = F.col(self.column)
+    def total(self, value: Column, order: Column) -> Column:
         if self.kind == "sum":
             return F.sum(value)
         if self.kind == "max":
             return F.max(value)
         return F.max_by(value, F.when(value.isNotNull(), order))
 
-    def over(self, window) -> Column:
-        value = F.col(self.column)
+    def over(self, value: Column, window) -> Column:
         if self.kind == "sum":
             return F.sum(value).over(window)
         if self.kind == "max":
@@ -60,12 +58,15 @@ def running(
     ties: Sequence[str] = (),
     slice_us: int | None = MINUTE_US,
     exclusive: bool = False,
+    unique_times: bool = False,
 ) -> DataFrame:
     """Add running measures per group in (time, ties) order.
 
     ``exclusive`` leaves the current row out. ``slice_us=None`` is the plain
     window, for groups whose row count is known to be small. A sliced task holds
     at most one slice of one group, the middle step one row per slice of a group.
+    ``unique_times`` promises at most one non-NULL value per group and instant,
+    which lets the slice totals use a hash aggregate.
     """
     order = [F.col(time).asc_nulls_first(), *[F.col(t).asc_nulls_first() for t in ties]]
     last_row = -1 if exclusive else Window.currentRow
@@ -73,12 +74,18 @@ def running(
 
     if slice_us is None:
         window = Window.partitionBy(*groups).orderBy(*order).rowsBetween(*frame)
-        return df.withColumns({m.out: m.over(window) for m in measures})
-
-    rows = df.withColumn(_SLICE, floor_div(micros(F.col(time)), slice_us))
-    rank = F.struct(time, *ties) if ties else F.col(time)
+        return df.withColumns({m.out: m.over(F.col(m.column), window) for m in measures})
+
+    inputs = {f"_in{i}": m for i, m in enumerate(measures)}
+    rows = df.withColumns(
+        {
+            _SLICE: floor_div(micros(F.col(time)), slice_us),
+            **{c: F.col(m.column) for c, m in inputs.items()},
+        }
+    )
+    rank = F.struct(time, *ties) if ties and not unique_times else F.col(time)
     totals = rows.groupBy(*groups, _SLICE).agg(
-        *[m.total(rank).alias(m.column) for m in measures]
+        *[m.total(F.col(c), rank).alias(c) for c, m in inputs.items()]
     )
     before = (
         Window.partitionBy(*groups)
@@ -88,7 +95,7 @@ def running(
     carry = totals.select(
         *groups,
         _SLICE,
-        *[m.over(before).alias(m.column) for m in measures],
+        *[m.over(F.col(c), before).alias(c) for c, m in inputs.items()],
         F.lit(0).alias(_ROW),
     )
     both = rows.withColumn(_ROW, F.lit(1)).unionByName(carry, allowMissingColumns=True)
@@ -96,9 +103,9 @@ def running(
         Window.partitionBy(*groups, _SLICE).orderBy(_ROW, *order).rowsBetween(*frame)
     )
     return (
-        both.withColumns({m.out: m.over(window) for m in measures})
+        both.withColumns({m.out: m.over(F.col(c), window) for c, m in inputs.items()})
         .where(F.col(_ROW) == 1)
-        .drop(_ROW, _SLICE)
+        .drop(_ROW, _SLICE, *inputs)
     )
 
 

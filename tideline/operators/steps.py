@@ -56,6 +56,7 @@ def align_step_functions(
         [Measure("_filled", "last", value)],
         ties=["_side"],
         slice_us=slice_us,
+        unique_times=True,
     )
     return filled.where(F.col("_side") == 1).select(
         time, *groups, F.col("_filled").alias(value)

@@ -137,12 +137,15 @@ def last_host(tables: Tables) -> DataFrame:
     )
 
 
+_SALTS = 16
+
+
 def event_end(tables: Tables) -> DataFrame:
     """First end event after the last resume (or at all) per instance, NULL if none.
 
-    Events are reduced to one row per instance and time before anything is
-    compared, then twice to one row per instance; no instance's history has to
-    fit in a task.
+    Events are reduced to one row per instance and time first. The last resumes,
+    one row per resumed instance, are copied to every salt, so an instance with
+    very many events is compared by several tasks.
     """
     at = F.col("start_time")
     per_time = (
@@ -153,12 +156,16 @@ def event_end(tables: Tables) -> DataFrame:
             F.max(F.col("event").isin(*vocab.RESUME_EVENTS)).alias("resumes"),
         )
     )
-    resumed = per_time.groupBy("instance_uuid").agg(
-        F.max(F.when(F.col("resumes"), at)).alias("last_resume")
+    resumed = (
+        per_time.where(F.col("resumes"))
+        .groupBy("instance_uuid")
+        .agg(F.max(at).alias("last_resume"))
+        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
     )
+    salted = per_time.withColumn("_salt", F.pmod(F.hash("start_time"), F.lit(_SALTS)))
     counts = F.col("ends") & (F.col("last_resume").isNull() | (at > F.col("last_resume")))
     return (
-        per_time.join(resumed, "instance_uuid")
+        salted.join(resumed, ["instance_uuid", "_salt"], "left")
         .groupBy("instance_uuid")
         .agg(F.min(F.when(counts, at)).alias("event_terminated_at"))
     )

@@ -283,20 +283,21 @@ def display_order(spark, sf_dir):
     "collector_gap",
     sql(
         """
-        SELECT timestamp, site, resource, round(total_current, 4) + 0.0 AS total,
-               round(reservable_current, 4) + 0.0 AS reservable_current,
-               round(reservable_legacy, 4) + 0.0 AS reservable_legacy,
+        SELECT timestamp, site, resource, total_current AS total, reservable_current, reservable_legacy,
                CASE WHEN reservable_legacy > reservable_current
                     THEN round(reservable_legacy - reservable_current, 4) + 0.0 END AS missing_history,
                CASE WHEN reservable_current > reservable_legacy
                     THEN round(reservable_current - reservable_legacy, 4) + 0.0 END AS untracked_maintenance
-        FROM wide
+        FROM (SELECT timestamp, site, resource, """
+        + _rounded(("total_current", "reservable_current", "reservable_legacy"))
+        + """ FROM wide)
         """,
         "wide",
     ),
 )
 def collector_gap(spark, sf_dir):
-    return plain(series.collector_gap(report_wide(spark, sf_dir)))
+    # rounded before the comparison: running sums of doubles end near, not at, zero
+    return plain(series.collector_gap(plain(report_wide(spark, sf_dir))))
 
 
 MARKS = [
