@@ -24,9 +24,8 @@ from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tideline.functions.buckets import MINUTE_US
 from tideline.functions.intervals import overlaps
-from tideline.operators.scan import Measure, running
+from tideline.operators.scan import SESSION, Measure, running
 
 _SIZES = range(9)  # node widths 4**0 .. 4**8 days
 _HORIZON = 4**9 - 1  # day number that stands for an open end (year 2687)
@@ -116,7 +115,7 @@ def has_overlap(
     keys: Sequence[str],
     start: str,
     end: str,
-    slice_us: int = MINUTE_US,
+    slice_us: int | None = SESSION,
 ) -> DataFrame:
     """Children with ``_has_parent``, decided without comparing pairs.
 

@@ -6,32 +6,45 @@ from typing import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from tideline.functions.buckets import floor_div
+from tideline.operators.scan import SESSION, Measure, running
 
 
 def trailing_mean(
-    df: DataFrame, series: Sequence[str], time: str, value: str, days: int, out: str
+    df: DataFrame,
+    series: Sequence[str],
+    time: str,
+    value: str,
+    days: int,
+    out: str,
+    slice_us: int | None = SESSION,
 ) -> DataFrame:
     """Mean of the last ``days`` days, both ends included, per series.
 
-    NULL or NaN values give NULL and enter no mean. Time is cut into blocks of
-    ``days`` days and every row is also lent to the next block, so a window needs
-    one block at a time and no task holds a whole series.
+    NULL or NaN values give NULL and enter no mean. Every value is added at its
+    instant and taken out right after its last day, so the mean is a running sum
+    over a running count whatever the width of the window. Expects one row per
+    series and instant.
     """
     known = F.when(~F.isnan(value), F.col(value))
-    block = floor_div(F.unix_date(F.col(time).cast("date")).cast("long"), days)
-    lent = df.withColumn("_known", known).withColumn(
-        "_home", F.explode(F.array(F.lit(True), F.lit(False)))
+    rows = df.withColumns({"_known": known, "_at": F.col(time), "_leaves": F.lit(0)})
+    leaving = rows.where(F.col("_known").isNotNull()).select(
+        *series,
+        (F.col("_at") + F.make_dt_interval(days=F.lit(days))).alias("_at"),
+        F.lit(1).alias("_leaves"),
+        (-F.col("_known")).alias("_change"),
+        F.lit(-1).alias("_one"),
     )
-    placed = lent.withColumn("_block", F.when(F.col("_home"), block).otherwise(block + 1))
-    keys = ", ".join(f"`{c}`" for c in [*series, "_block"])
-    mean = F.expr(
-        f"avg(_known) OVER (PARTITION BY {keys} ORDER BY `{time}` "
-        f"RANGE BETWEEN INTERVAL '{days}' DAY PRECEDING AND CURRENT ROW)"
-    )
-    return (
-        placed.withColumn("_mean", mean)
-        .where(F.col("_home"))
-        .withColumn(out, F.when(F.col("_known").isNotNull(), F.col("_mean")))
-        .drop("_known", "_home", "_block", "_mean")
+    entering = rows.withColumns(
+        {"_change": F.col("_known"), "_one": F.col("_known").isNotNull().cast("int")}
     )
+    both = entering.unionByName(leaving, allowMissingColumns=True)
+    summed = running(
+        both,
+        series,
+        "_at",
+        [Measure("_sum", "sum", "_change"), Measure("_n", "sum", "_one")],
+        ties=["_leaves"],
+        slice_us=slice_us,
+    ).where(F.col("_leaves") == 0)
+    mean = F.when(F.col("_known").isNotNull(), F.col("_sum") / F.col("_n"))
+    return summed.select(*df.columns, mean.alias(out))

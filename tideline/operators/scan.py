@@ -10,7 +10,8 @@ Here every group is cut into time slices:
    window runs per (group, slice).
 
 Slices come from the clock, not from sampling, so a recomputed task puts every
-row where the first attempt put it.
+row where the first attempt put it. Their width is the session setting
+``tideline.slice.seconds`` (900): narrower slices for denser data.
 """
 
 from __future__ import annotations
@@ -20,12 +21,19 @@ from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tideline.functions.buckets import MINUTE_US, floor_div, micros
+from tideline.functions.buckets import MICROS, floor_div, micros
 from tideline.functions.exprs import any_null
 
 _SLICE = "_slice"
 _ROW = "_row"
 
+SESSION = -1  # slice width from the session setting
+
+
+def slice_width(df: DataFrame) -> int:
+    seconds = df.sparkSession.conf.get("tideline.slice.seconds", "900")
+    return int(float(seconds) * MICROS)
+
 
 @dataclass(frozen=True)
 class Measure:
@@ -56,7 +64,7 @@ def running(
     time: str,
     measures: Sequence[Measure],
     ties: Sequence[str] = (),
-    slice_us: int | None = MINUTE_US,
+    slice_us: int | None = SESSION,
     exclusive: bool = False,
     unique_times: bool = False,
 ) -> DataFrame:
@@ -76,10 +84,11 @@ def running(
         window = Window.partitionBy(*groups).orderBy(*order).rowsBetween(*frame)
         return df.withColumns({m.out: m.over(F.col(m.column), window) for m in measures})
 
+    width = slice_width(df) if slice_us == SESSION else slice_us
     inputs = {f"_in{i}": m for i, m in enumerate(measures)}
     rows = df.withColumns(
         {
-            _SLICE: floor_div(micros(F.col(time)), slice_us),
+            _SLICE: floor_div(micros(F.col(time)), width),
             **{c: F.col(m.column) for c, m in inputs.items()},
         }
     )
@@ -117,7 +126,7 @@ def asof_join(
     right_on: str,
     payload: Sequence[str],
     ties: Sequence[str] = (),
-    slice_us: int | None = MINUTE_US,
+    slice_us: int | None = SESSION,
 ) -> DataFrame:
     """Backward as-of join: the latest right row with ``right_on <= left_on`` per key.
 

@@ -12,8 +12,8 @@ from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tideline.functions.buckets import MICROS, MINUTE_US, Buckets, micros, ts
-from tideline.operators.scan import Measure, running
+from tideline.functions.buckets import MICROS, Buckets, micros, ts
+from tideline.operators.scan import SESSION, Measure, running
 
 _K = "_k"
 
@@ -43,7 +43,7 @@ def align_step_functions(
     time: str,
     value: str,
     groups: Sequence[str],
-    slice_us: int | None = MINUTE_US,
+    slice_us: int | None = SESSION,
 ) -> DataFrame:
     """Forward-fill every group to the union of instants; NULL before a group's first."""
     grid = dense_grid(df, time, groups).withColumn("_side", F.lit(1))
@@ -189,7 +189,7 @@ def resample_time_weighted(
     interval: str,
     groups: Sequence[str],
     time_range: tuple[datetime, datetime],
-    slice_us: int | None = MINUTE_US,
+    slice_us: int | None = SESSION,
 ) -> DataFrame:
     """Duration-weighted mean per bucket of a step function given by its values.
 

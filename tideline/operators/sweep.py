@@ -6,8 +6,7 @@ from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tideline.functions.buckets import MINUTE_US
-from tideline.operators.scan import Measure, running
+from tideline.operators.scan import SESSION, Measure, running
 
 
 def intervals_to_deltas(
@@ -28,7 +27,7 @@ def intervals_to_deltas(
 
 
 def deltas_to_counts(
-    df: DataFrame, groups: Sequence[str], slice_us: int | None = MINUTE_US
+    df: DataFrame, groups: Sequence[str], slice_us: int | None = SESSION
 ) -> DataFrame:
     """Sum changes per instant, then accumulate them per group."""
     per_instant = df.groupBy("timestamp", *groups).agg(
@@ -49,7 +48,7 @@ def intervals_to_counts(
     end: str,
     groups: Sequence[str],
     value: str | None = None,
-    slice_us: int | None = MINUTE_US,
+    slice_us: int | None = SESSION,
 ) -> DataFrame:
     """Step function of the intervals open at each instant, one row per change."""
     return deltas_to_counts(

@@ -128,32 +128,32 @@ def last_host(tables: Tables) -> DataFrame:
 
     Other events carry a controller's name, which is no hypervisor.
     """
-    latest = F.struct("start_time", "event_id")
-    return (
-        instance_events(tables)
-        .where(F.col("event").startswith("compute_"))
-        .groupBy("instance_uuid")
-        .agg(F.max_by("host", latest).alias("last_host"))
-    )
+    return instance_facts(tables).where("on_host").select("instance_uuid", "last_host")
 
 
 _SALTS = 16
 
 
-def event_end(tables: Tables) -> DataFrame:
-    """First end event after the last resume (or at all) per instance, NULL if none.
+def instance_facts(tables: Tables) -> DataFrame:
+    """Per instance with a successful event: last host and first end after the last resume.
 
     Events are reduced to one row per instance and time first. The last resumes,
     one row per resumed instance, are copied to every salt, so an instance with
-    very many events is compared by several tasks.
+    very many events is compared by several tasks. Without a resume the first end
+    counts; ``event_terminated_at`` is NULL without any.
     """
     at = F.col("start_time")
+    on_host = F.col("event").startswith("compute_")
     per_time = (
         instance_events(tables)
         .groupBy("instance_uuid", "start_time")
         .agg(
             F.max(F.col("event").isin(*vocab.END_EVENTS)).alias("ends"),
             F.max(F.col("event").isin(*vocab.RESUME_EVENTS)).alias("resumes"),
+            F.max(on_host).alias("on_host"),
+            F.max_by(F.when(on_host, F.col("host")), F.when(on_host, F.col("event_id"))).alias(
+                "host"
+            ),
         )
     )
     resumed = (
@@ -164,13 +164,22 @@ def event_end(tables: Tables) -> DataFrame:
     )
     salted = per_time.withColumn("_salt", F.pmod(F.hash("start_time"), F.lit(_SALTS)))
     counts = F.col("ends") & (F.col("last_resume").isNull() | (at > F.col("last_resume")))
+    latest = F.when(F.col("on_host"), F.struct("start_time"))
     return (
         salted.join(resumed, ["instance_uuid", "_salt"], "left")
         .groupBy("instance_uuid")
-        .agg(F.min(F.when(counts, at)).alias("event_terminated_at"))
+        .agg(
+            F.min(F.when(counts, at)).alias("event_terminated_at"),
+            F.max_by("host", latest).alias("last_host"),
+            F.max("on_host").alias("on_host"),
+        )
     )
 
 
+def event_end(tables: Tables) -> DataFrame:
+    return instance_facts(tables).select("instance_uuid", "event_terminated_at")
+
+
 _HOST_FACTS = ("hypervisor_type", "host_vcpus", "host_memory_mb", "host_disk_gb")
 
 
@@ -215,12 +224,12 @@ def instances(tables: Tables) -> DataFrame:
 
     The start stays ``created_at``: an instance occupies its host while it builds.
     """
+    facts = instance_facts(tables).drop("on_host").withColumnRenamed("instance_uuid", "uuid")
     enriched = (
         tables["nova_instances"]
         .where(F.col("launched_at").isNotNull())
         .join(reservation_hints(tables), "uuid", "left")
-        .join(last_host(tables).withColumnRenamed("instance_uuid", "uuid"), "uuid", "left")
-        .join(event_end(tables).withColumnRenamed("instance_uuid", "uuid"), "uuid", "left")
+        .join(facts, "uuid", "left")
         .withColumns(
             {
                 "blazar_reservation_id": F.coalesce("hinted", "from_flavor"),

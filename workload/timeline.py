@@ -271,9 +271,7 @@ def resample_calendar(spark, sf_dir):
     return plain(sampled)
 
 
-@query(
-    "resample_weighted",
-    sql(
+_WEIGHTED = sql(
         f"""
         SELECT g.bucket AS timestamp, g.metric, g.resource, g.site, g.collector_type,
                round(sum(s.value * epoch(least(s.upto, g.bucket + INTERVAL '1' DAY)
@@ -291,12 +289,20 @@ def resample_calendar(spark, sf_dir):
         """,
         "counts",
         "buckets",
-    ),
-)
+    )
+
+
+@query("resample_weighted", _WEIGHTED)
 def resample_weighted(spark, sf_dir):
     return plain(usage.resample_weighted(counts(spark, sf_dir), "1d", SPEC))
 
 
+@query("weighted_usage", _WEIGHTED)
+def weighted_usage(spark, sf_dir):
+    intervals = Inputs(spark, sf_dir).event_intervals()
+    return plain(usage.weighted_usage(intervals, "1d", SPEC))
+
+
 # --- derive and whole runs ----------------------------------------------------------
 
 

@@ -2,7 +2,8 @@
 
 Every view is one pass (or one aggregation) over whole tables with arithmetic
 rules, so its size and its number of keys grow with them. ``{name}`` is a table
-or an earlier view, ``{epoch}`` the literal 1995-01-01.
+or an earlier view, ``{epoch}`` the literal 1995-01-01 and ``{twice}`` repeats each
+row with k = 0 and 1.
 """
 
 from __future__ import annotations
@@ -132,27 +133,22 @@ VIEWS = {
     """,
     "instance_actions_events": """
         SELECT shipdate AS created_at, CAST(NULL AS TIMESTAMP) AS deleted_at,
-               (l_orderkey * 10 + l_linenumber) * 2 AS id,
-               CASE l_linenumber % 5 WHEN 0 THEN 'compute_terminate_instance'
-                                     WHEN 1 THEN 'compute_shelve_instance'
-                                     WHEN 2 THEN 'compute_shelve_offload_instance'
-                                     WHEN 3 THEN 'compute_unshelve_instance'
-                                     ELSE 'conductor_migrate_server' END AS event,
+               (l_orderkey * 10 + l_linenumber) * 2 + k AS id,
+               CASE WHEN k = 1 THEN CASE WHEN quantity > 25 THEN 'compute_resize_instance'
+                                         ELSE 'conductor_live_migrate' END
+                    ELSE CASE l_linenumber % 5
+                         WHEN 0 THEN 'compute_terminate_instance'
+                         WHEN 1 THEN 'compute_shelve_instance'
+                         WHEN 2 THEN 'compute_shelve_offload_instance'
+                         WHEN 3 THEN 'compute_unshelve_instance'
+                         ELSE 'conductor_migrate_server' END END AS event,
                l_orderkey * 10 + l_linenumber AS action_id,
                shipdate + INTERVAL '1' HOUR AS start_time,
                CAST(NULL AS TIMESTAMP) AS finish_time,
-               CASE WHEN returnflag = 'R' THEN 'Error' ELSE 'Success' END AS result,
-               concat('h', CAST(CAST(floor(suppkey / 3) AS BIGINT) AS STRING)) AS host
-        FROM {li}
-        UNION ALL
-        SELECT shipdate, CAST(NULL AS TIMESTAMP),
-               (l_orderkey * 10 + l_linenumber) * 2 + 1,
-               CASE WHEN quantity > 25 THEN 'compute_resize_instance'
-                    ELSE 'conductor_live_migrate' END,
-               l_orderkey * 10 + l_linenumber,
-               shipdate + INTERVAL '2' HOUR, CAST(NULL AS TIMESTAMP), 'Success',
-               concat('h', CAST(CAST(floor(partkey / 60) AS BIGINT) AS STRING))
-        FROM {li}
+               CASE WHEN k = 0 AND returnflag = 'R' THEN 'Error' ELSE 'Success' END AS result,
+               concat('h', CAST(CAST(floor(CASE WHEN k = 0 THEN suppkey / 3
+                                                ELSE partkey / 60 END) AS BIGINT) AS STRING)) AS host
+        FROM {li} {twice}
     """,
     "devices": """
         SELECT {epoch} + (p_partkey % 900) * INTERVAL '1' DAY AS created_at,
@@ -252,6 +248,7 @@ class Inputs:
             return table(self.spark, self.sf_dir, name)
         sql = VIEWS[name].replace("{epoch}", "TIMESTAMP_NTZ '1995-01-01 00:00:00'")
         sql = sql.replace("AS TIMESTAMP)", "AS TIMESTAMP_NTZ)")
+        sql = sql.replace("{twice}", "LATERAL VIEW explode(array(0, 1)) pair AS k")
         needed = {n: self[n] for n in (*BASE, *VIEWS) if f"{{{n}}}" in sql}
         return self.spark.sql(sql, **needed)
 
@@ -289,6 +286,7 @@ def duck(names: list[str], body: str, extra: dict[str, str] | None = None) -> st
         need(n)
     slots = {n: n for n in (*BASE, *texts)}
     slots["epoch"] = "TIMESTAMP '1995-01-01 00:00:00'"
+    slots["twice"] = ", (SELECT unnest([0, 1]) AS k) pair"
     ctes = ",\n".join(f"{n} AS ({texts[n].format(**slots)})" for n in order)
     return f"WITH {ctes}\n{body}"
 
