@@ -148,7 +148,8 @@ def test_running_last_and_max_across_slices(frame):
     assert got == [("a", 1, 5, 5), ("a", 2, 5, 5), ("a", 4, 3, 5), ("b", 3, None, None)]
 
 
-def test_asof_takes_equal_instants_and_the_last_tie(frame):
+@pytest.mark.parametrize("limit", [None, 1, 2])
+def test_asof_takes_equal_instants_and_the_last_tie(frame, limit):
     left = frame(
         [(1, "n", day(1)), (2, "n", day(5)), (3, "n", day(9)), (4, None, day(9))],
         "id int, node string, at ts",
@@ -157,6 +158,6 @@ def test_asof_takes_equal_instants_and_the_last_tie(frame):
         [("n", day(5), 1, "old"), ("n", day(5), 2, "new"), (None, day(1), 3, "none")],
         "node string, since ts, rid int, kind string",
     )
-    out = asof_join(left, right, ["node"], "at", "since", ["kind"], ties=["rid"])
+    out = asof_join(left, right, ["node"], "at", "since", ["kind"], ["rid"], era_limit=limit)
     got = [(r.id, r.kind) for r in out.orderBy("id").collect()]
     assert got == [(1, None), (2, "new"), (3, "new"), (4, None)]

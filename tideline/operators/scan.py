@@ -118,6 +118,12 @@ def running(
     )
 
 
+def at_most_per_key(df: DataFrame, keys: Sequence[str], limit: int) -> bool:
+    """Whether no key holds more than ``limit`` rows (one aggregation, run now)."""
+    over = df.groupBy(*keys).count().where(F.col("count") > limit)
+    return over.isEmpty()
+
+
 def asof_join(
     left: DataFrame,
     right: DataFrame,
@@ -126,20 +132,28 @@ def asof_join(
     right_on: str,
     payload: Sequence[str],
     ties: Sequence[str] = (),
+    era_limit: int | None = None,
     slice_us: int | None = SESSION,
 ) -> DataFrame:
     """Backward as-of join: the latest right row with ``right_on <= left_on`` per key.
 
     Equal instants match; several right rows at one instant resolve to the last
     in ``ties`` order (columns of ``right``). Unmatched left rows keep NULLs, and a
-    NULL key matches nothing. One tagged union and a running "last" replace the
-    range join.
+    NULL key matches nothing.
+
+    With ``era_limit``, the right side is counted per key first. While no key has
+    more rows, each row becomes the era up to its successor and an equi-join finds
+    the one era of a left row, reading the left side once. Without the limit, or
+    beyond it, a tagged union and a sliced running "last" need no pairs at all.
     """
+    known = F.col(right_on).isNotNull() & ~any_null(by)
+    right = right.where(known)
+    if era_limit is not None and at_most_per_key(right, by, era_limit):
+        return _join_eras(left, right, by, left_on, right_on, payload, ties)
     keep = left.columns
     tie_names = [f"_tie{i}" for i in range(len(ties))]
     probe = left.withColumns({"_at": F.col(left_on), "_side": F.lit(1)})
-    known = F.col(right_on).isNotNull() & ~any_null(by)
-    found = right.where(known).select(
+    found = right.select(
         *by,
         F.col(right_on).alias("_at"),
         F.lit(0).alias("_side"),
@@ -156,3 +170,21 @@ def asof_join(
         slice_us=slice_us,
     ).where(F.col("_side") == 1)
     return out.select(*keep, *[F.col(f"_match.{p}").alias(p) for p in payload])
+
+
+def _join_eras(left, right, by, left_on, right_on, payload, ties) -> DataFrame:
+    order = Window.partitionBy(*by).orderBy(right_on, *ties)
+    eras = right.select(
+        *[F.col(k).alias(f"_r_{k}") for k in by],
+        F.col(right_on).alias("_since"),
+        F.lead(right_on).over(order).alias("_until"),
+        F.struct(*payload).alias("_match"),
+    )
+    at = F.col(left_on)
+    on = (at >= F.col("_since")) & (F.col("_until").isNull() | (at < F.col("_until")))
+    for k in by:
+        on = on & (F.col(k) == F.col(f"_r_{k}"))
+    joined = left.join(eras, on, "left")
+    return joined.select(
+        *left.columns, *[F.col(f"_match.{p}").alias(p) for p in payload]
+    )

@@ -223,6 +223,7 @@ def instances(tables: Tables) -> DataFrame:
     """Launched instances with reservation, booking type, host facts and end.
 
     The start stays ``created_at``: an instance occupies its host while it builds.
+    Host records are counted per node when this is called (see ``asof_join``).
     """
     facts = instance_facts(tables).drop("on_host").withColumnRenamed("instance_uuid", "uuid")
     enriched = (
@@ -259,7 +260,7 @@ def instances(tables: Tables) -> DataFrame:
         "host_created_at",
         _HOST_FACTS,
         ties=["host_id"],
-        slice_us=7 * 86_400_000_000,
+        era_limit=1_000,
     )
     return (
         matched.join(earliest_host(tables), "node", "left")

@@ -359,9 +359,7 @@ def earliest_host(spark, sf_dir):
     return builders.earliest_host(Inputs(spark, sf_dir).raw())
 
 
-@query(
-    "asof_host",
-    sql(
+_ASOF = sql(
         """
         SELECT i.uuid, i.node, i.created_at, h.created_at AS host_created_at,
                h.hypervisor_type, CAST(h.id AS STRING) AS host_id
@@ -370,22 +368,33 @@ def earliest_host(spark, sf_dir):
         """,
         "instances",
         "compute_nodes",
-    ),
-)
-def asof_host(spark, sf_dir):
+    )
+
+
+def _asof(spark: SparkSession, sf_dir: str, era_limit: int | None) -> DataFrame:
     raw = Inputs(spark, sf_dir).raw()
-    probes = raw["nova_instances"].select("uuid", "node", "created_at")
     return asof_join(
-        probes,
+        raw["nova_instances"].select("uuid", "node", "created_at"),
         builders.host_history(raw),
         ["node"],
         "created_at",
         "host_created_at",
         ["host_created_at", "hypervisor_type", "host_id"],
         ties=["host_id"],
+        era_limit=era_limit,
     )
 
 
+@query("asof_host", _ASOF)
+def asof_host(spark, sf_dir):
+    return _asof(spark, sf_dir, 1_000)
+
+
+@query("asof_host_sliced", _ASOF)
+def asof_host_sliced(spark, sf_dir):
+    return _asof(spark, sf_dir, None)
+
+
 _INSTANCE = (
     "CAST(id AS STRING) AS id, uuid, created_at, deleted_at, node, blazar_reservation_id, "
     "booking_type, hypervisor_type, CAST(host_vcpus AS BIGINT) AS host_vcpus, "
