@@ -271,13 +271,14 @@ def resample_calendar(spark, sf_dir):
     return plain(sampled)
 
 
+# an hour's share of cents can end in a 5 at the fifth place, hence six
 _WEIGHTED = sql(
         f"""
         SELECT g.bucket AS timestamp, g.metric, g.resource, g.site, g.collector_type,
                round(sum(s.value * epoch(least(s.upto, g.bucket + INTERVAL '1' DAY)
                                          - greatest(s.timestamp, g.bucket)))
                      / sum(epoch(least(s.upto, g.bucket + INTERVAL '1' DAY)
-                                 - greatest(s.timestamp, g.bucket))), 4) + 0.0 AS value
+                                 - greatest(s.timestamp, g.bucket))), 6) + 0.0 AS value
         FROM (SELECT * FROM (SELECT DISTINCT {_G} FROM counts) CROSS JOIN buckets) g
         LEFT JOIN (SELECT *, coalesce(lead(timestamp) OVER (
                        PARTITION BY {_G} ORDER BY timestamp), {HI} + INTERVAL '1' YEAR) AS upto
@@ -294,13 +295,13 @@ _WEIGHTED = sql(
 
 @query("resample_weighted", _WEIGHTED)
 def resample_weighted(spark, sf_dir):
-    return plain(usage.resample_weighted(counts(spark, sf_dir), "1d", SPEC))
+    return plain(usage.resample_weighted(counts(spark, sf_dir), "1d", SPEC), 6)
 
 
 @query("weighted_usage", _WEIGHTED)
 def weighted_usage(spark, sf_dir):
     intervals = Inputs(spark, sf_dir).event_intervals()
-    return plain(usage.weighted_usage(intervals, "1d", SPEC))
+    return plain(usage.weighted_usage(intervals, "1d", SPEC), 6)
 
 
 # --- derive and whole runs ----------------------------------------------------------

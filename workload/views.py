@@ -46,7 +46,7 @@ VIEWS = {
         SELECT l_orderkey, l_linenumber,
                min(l_suppkey) AS suppkey, min(l_partkey) AS partkey,
                min(l_shipdate) AS shipdate, min(l_quantity) AS quantity,
-               min(l_returnflag) AS returnflag
+               min(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) AS returned
         FROM {lineitem} GROUP BY l_orderkey, l_linenumber
     """,
     "compute_nodes": """
@@ -145,7 +145,7 @@ VIEWS = {
                l_orderkey * 10 + l_linenumber AS action_id,
                shipdate + INTERVAL '1' HOUR AS start_time,
                CAST(NULL AS TIMESTAMP) AS finish_time,
-               CASE WHEN k = 0 AND returnflag = 'R' THEN 'Error' ELSE 'Success' END AS result,
+               CASE WHEN k = 0 AND returned = 1 THEN 'Error' ELSE 'Success' END AS result,
                concat('h', CAST(CAST(floor(CASE WHEN k = 0 THEN suppkey / 3
                                                 ELSE partkey / 60 END) AS BIGINT) AS STRING)) AS host
         FROM {li} {twice}
