@@ -9,7 +9,7 @@ equality:
   child starts, or the parent starts while the child is open;
 * either way one side is an instant and the other an interval that holds it;
 * the interval is covered by disjoint aligned time nodes (4-adic: 1, 4, 16, ...
-  days), the instant lists the one node of each size that holds it. They share
+  ticks), the instant lists the one node of each size that holds it. They share
   exactly one node, so every pair meets once.
 
 An interval needs a few nodes per size however long it is, and an instant one
@@ -24,82 +24,103 @@ from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tideline.functions.buckets import DAY_US, floor_div, micros
 from tideline.functions.intervals import overlaps
-from tideline.operators.scan import SESSION, Measure, running
+from tideline.operators.scan import SESSION, Measure, running, slice_width
 
-_SIZES = range(9)  # node widths 4**0 .. 4**8 days
-_HORIZON = 4**9 - 1  # day number that stands for an open end (year 2687)
+_SPAN_US = 800 * 365 * DAY_US  # the tree reaches at least this far past 1970
 _FOREVER = "9999-12-31 00:00:00"
 
 
-def _day(t: Column) -> Column:
-    """Day number clipped to the node tree's range."""
-    day = F.unix_date(t.cast("date")).cast("long")
-    return F.least(F.greatest(day, F.lit(0).cast("long")), F.lit(_HORIZON).cast("long"))
-
-
-def _node(size: int, index: Column) -> Column:
-    return index * len(_SIZES) + size
-
-
-def _nodes_of_instant(t: Column) -> Column:
-    day = _day(t)
-    return F.array(*[_node(s, F.shiftright(day, 2 * s)) for s in _SIZES])
-
-
-def _nodes_of_interval(start: Column, end: Column) -> Column:
-    """Disjoint nodes that cover every day the interval touches.
-
-    At each size the whole nodes inside the interval form one run; the nodes of
-    that run that no wider node covers are its two ends.
-    """
-    lo = _day(start)
-    open_end = F.lit(_HORIZON).cast("long")
-    hi = F.when(end.isNull(), open_end).otherwise(_day(end)) + 1
-    empty = F.array().cast("array<bigint>")
-    parts = []
-    for s in _SIZES:
-        first, stop = F.shiftright(lo + (4**s - 1), 2 * s), F.shiftright(hi, 2 * s)
-        if s == _SIZES[-1]:
-            wide_first, wide_stop = stop, stop
-        else:
-            wide_first = F.shiftright(lo + (4 ** (s + 1) - 1), 2 * s + 2) * 4
-            wide_stop = F.shiftright(hi, 2 * s + 2) * 4
-        wider = wide_first < wide_stop
-        left_stop = F.when(wider, wide_first).otherwise(stop)
-        left = F.when(first < left_stop, F.sequence(first, left_stop - 1))
-        right = F.when(wider & (wide_stop < stop), F.sequence(wide_stop, stop - 1))
-        nodes = F.concat(F.coalesce(left, empty), F.coalesce(right, empty))
-        parts.append(F.transform(nodes, partial(_node, s)))
-    return F.concat(*parts)
-
-
-def _roles(instant_role: int, start: Column, end: Column) -> Column:
-    """Both roles of a row as (role, node) entries, ready to inline."""
-    as_instant = F.transform(
-        _nodes_of_instant(start),
-        lambda n: F.struct(F.lit(instant_role).alias("_role"), n.alias("_node")),
-    )
-    as_interval = F.transform(
-        _nodes_of_interval(start, end),
-        lambda n: F.struct(F.lit(1 - instant_role).alias("_role"), n.alias("_node")),
-    )
-    return F.concat(as_instant, as_interval)
+class _Nodes:
+    """Node arrays of instants and intervals; the smallest node is one tick wide."""
+
+    def __init__(self, tick_us: int):
+        self.tick_us = tick_us
+        self.top = 1
+        while 4**self.top * tick_us < _SPAN_US:
+            self.top += 1
+        self.last = F.lit(4**self.top - 1).cast("long")  # stands for an open end
+
+    def _tick(self, t: Column) -> Column:
+        """Tick number, clipped to the tree's range."""
+        tick = floor_div(micros(t), self.tick_us)
+        return F.least(F.greatest(tick, F.lit(0).cast("long")), self.last)
+
+    def with_ticks(self, df: DataFrame, start: str, end: str) -> DataFrame:
+        """Add ``_lo``, the first tick, and ``_hi``, the one after the last."""
+        last = F.when(F.col(end).isNull(), self.last).otherwise(self._tick(F.col(end)))
+        return df.withColumns({"_lo": self._tick(F.col(start)), "_hi": last + 1})
+
+    def _number(self, size: int, index: Column) -> Column:
+        return index * (self.top + 1) + size
+
+    def _of_instant(self) -> Column:
+        sizes = range(self.top + 1)
+        return F.array(*[self._number(s, F.shiftright("_lo", 2 * s)) for s in sizes])
+
+    def _of_interval(self) -> Column:
+        """Disjoint nodes that cover every tick the interval touches.
+
+        At each size the whole nodes inside the interval form one run; the nodes
+        of that run that no wider node covers are its two ends.
+        """
+        lo, hi = F.col("_lo"), F.col("_hi")
+        empty = F.array().cast("array<bigint>")
+        parts = []
+        for s in range(self.top + 1):
+            first, stop = F.shiftright(lo + (4**s - 1), 2 * s), F.shiftright(hi, 2 * s)
+            if s == self.top:
+                wide_first, wide_stop = stop, stop
+            else:
+                wide_first = F.shiftright(lo + (4 ** (s + 1) - 1), 2 * s + 2) * 4
+                wide_stop = F.shiftright(hi, 2 * s + 2) * 4
+            wider = wide_first < wide_stop
+            left_stop = F.when(wider, wide_first).otherwise(stop)
+            left = F.when(first < left_stop, F.sequence(first, left_stop - 1))
+            right = F.when(wider & (wide_stop < stop), F.sequence(wide_stop, stop - 1))
+            run = F.concat(F.coalesce(left, empty), F.coalesce(right, empty))
+            parts.append(F.transform(run, partial(self._number, s)))
+        return F.concat(*parts)
+
+    def roles(self, instant_role: int) -> Column:
+        """Both roles of a row with ticks as (role, node) entries, ready to inline."""
+        as_instant = F.transform(
+            self._of_instant(),
+            lambda n: F.struct(F.lit(instant_role).alias("_role"), n.alias("_node")),
+        )
+        as_interval = F.transform(
+            self._of_interval(),
+            lambda n: F.struct(F.lit(1 - instant_role).alias("_role"), n.alias("_node")),
+        )
+        return F.concat(as_instant, as_interval)
 
 
 def overlap_pairs(
-    children: DataFrame, parents: DataFrame, keys: Sequence[str], start: str, end: str
+    children: DataFrame,
+    parents: DataFrame,
+    keys: Sequence[str],
+    start: str,
+    end: str,
+    tick_us: int | None = None,
 ) -> DataFrame:
-    """Every (child, parent) with equal keys that overlap; parents bring ``_p_start, _p_end``."""
+    """Every (child, parent) with equal keys that overlap; parents bring ``_p_start, _p_end``.
+
+    The smallest node is one time slice of the session unless ``tick_us`` is given.
+    """
+    nodes = _Nodes(tick_us or slice_width(children))
     c_start, c_end = F.col(start), F.col(end)
     p_start, p_end = F.col("_p_start"), F.col("_p_end")
     # role 0: parent open at child's start; role 1: parent starts inside the child
-    left = children.select("*", F.inline(_roles(0, c_start, c_end)))
-    right = parents.where(p_start.isNotNull()).select(
+    left = nodes.with_ticks(children, start, end).select(
+        *children.columns, F.inline(nodes.roles(0))
+    )
+    known = nodes.with_ticks(parents.where(p_start.isNotNull()), "_p_start", "_p_end")
+    right = known.select(
         *[F.col(k).alias(f"_p_{k}") for k in keys],
         "_p_start",
         "_p_end",
-        F.inline(_roles(1, p_start, p_end)).alias("_p_role", "_p_node"),
+        F.inline(nodes.roles(1)).alias("_p_role", "_p_node"),
     )
     same = (F.col("_role") == F.col("_p_role")) & (F.col("_node") == F.col("_p_node"))
     for k in keys:
