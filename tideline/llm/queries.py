@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tideline.llm import decontaminate, near_duplicates
+from tideline.llm import decontaminate, near_duplicates, quality_classifier
+from tideline.llm.samples import held_out
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,5 +24,18 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.classes(_table(spark, sf_dir, "documents")).select("doc_id", "class_id")
 
 
-QUERIES = {f.__name__: f for f in (op2_decontaminate, op10_near_duplicates)}
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality score of every document."""
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    model = quality_classifier.fit(docs, labels)
+    scored = quality_classifier.score(docs.select("doc_id", "text"), model)
+    return scored.select(
+        "doc_id",
+        held_out("doc_id").alias("held_out"),
+        "score",
+        (F.col("score") >= quality_classifier.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
+QUERIES = {f.__name__: f for f in (op2_decontaminate, op9_quality_classifier, op10_near_duplicates)}
 ORACLES: dict[str, str] = {}
