@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import decontaminate, near_duplicates, quality_classifier
+from tideline.llm import decontaminate, near_duplicates, quality_classifier, toxicity
 from tideline.llm.samples import held_out
 
 
@@ -24,6 +24,18 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.classes(_table(spark, sf_dir, "documents")).select("doc_id", "class_id")
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity score of every document."""
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    scored = toxicity.score(docs.select("doc_id", "text"), toxicity.fit(docs, labels))
+    return scored.select(
+        "doc_id",
+        held_out("doc_id").alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The quality score of every document."""
     docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
@@ -37,5 +49,13 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op2_decontaminate, op9_quality_classifier, op10_near_duplicates)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op2_decontaminate,
+        op3_toxicity,
+        op9_quality_classifier,
+        op10_near_duplicates,
+    )
+}
 ORACLES: dict[str, str] = {}
