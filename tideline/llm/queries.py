@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import decontaminate, near_duplicates, quality_classifier, toxicity
+from tideline.llm import decontaminate, language_id, near_duplicates, quality_classifier, toxicity
 from tideline.llm.samples import held_out
 
 
@@ -13,6 +13,13 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document; the nearest one also where the operator rejects."""
+    docs = _table(spark, sf_dir, "documents")
+    found = language_id.identify(docs.select("doc_id", "text"), language_id.fit(docs))
+    return found.select("doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score", "distance", "rejected")
+
+
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A row for each document and benchmark item that it holds."""
     docs, items = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
@@ -52,6 +59,7 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_language_id,
         op2_decontaminate,
         op3_toxicity,
         op9_quality_classifier,
