@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import decontaminate, language_id, near_duplicates, quality_classifier, toxicity
+from tideline.llm import decontaminate, language_id, near_duplicates, quality_classifier, secrets, toxicity
 from tideline.llm.samples import held_out
 
 
@@ -43,6 +43,29 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The secrets of every document: counts and digest of the known forms, and all spans."""
+    docs = _table(spark, sf_dir, "documents")
+    found = secrets.find(docs.select("doc_id", "text"), secrets.fit(docs))
+
+    def count(kind):
+        return F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("long")
+
+    def joined(spans):
+        parts = F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"]))
+        return F.array_join(parts, ",")
+
+    known = F.filter("secrets", lambda s: s["kind"] != "random")
+    return found.select(
+        "doc_id",
+        count("assign").alias("n_assign"),
+        count("access").alias("n_access"),
+        count("hex").alias("n_hex"),
+        F.sha2(joined(known), 256).alias("base_sha256"),
+        joined(F.col("secrets")).alias("spans"),
+    )
+
+
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The quality score of every document."""
     docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
@@ -62,6 +85,7 @@ QUERIES = {
         op1_language_id,
         op2_decontaminate,
         op3_toxicity,
+        op6_secrets,
         op9_quality_classifier,
         op10_near_duplicates,
     )
