@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import decontaminate, language_id, near_duplicates, quality_classifier, secrets, toxicity
+from tideline.llm import decontaminate, html_text, language_id, near_duplicates, quality_classifier, secrets, toxicity
 from tideline.llm.samples import held_out
 
 
@@ -66,6 +66,13 @@ def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    found = html_text.main_text(pages)
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The quality score of every document."""
     docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
@@ -86,6 +93,7 @@ QUERIES = {
         op2_decontaminate,
         op3_toxicity,
         op6_secrets,
+        op8_html_text,
         op9_quality_classifier,
         op10_near_duplicates,
     )
