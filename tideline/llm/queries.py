@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import decontaminate, html_text, language_id, near_duplicates, quality_classifier, secrets, toxicity
+from tideline.llm import decontaminate, html_text, language_id, near_duplicates, quality_classifier, secrets, toxicity, warc
 from tideline.llm.samples import held_out
 
 
@@ -43,6 +43,12 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as read back from the archive, in the order of the merged index."""
+    index = warc.archive_index(_table(spark, sf_dir, "pages"))
+    return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The secrets of every document: counts and digest of the known forms, and all spans."""
     docs = _table(spark, sf_dir, "documents")
@@ -92,10 +98,31 @@ QUERIES = {
         op1_language_id,
         op2_decontaminate,
         op3_toxicity,
+        op5_warc,
         op6_secrets,
         op8_html_text,
         op9_quality_classifier,
         op10_near_duplicates,
     )
 }
-ORACLES: dict[str, str] = {}
+
+# 40 bits of the digest make 8 characters of base32
+_BASE32 = "||".join(
+    f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (('0x' || substr(sha, {1 + 10 * g}, 10))::UBIGINT >> {35 - 5 * i}"
+    "& 31)::INT + 1, 1)"
+    for g in range(4)
+    for i in range(8)
+)
+
+ORACLES: dict[str, str] = {
+    "op5_warc": f"""
+        WITH p AS (
+            SELECT page_id, octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes,
+                   sha1(coalesce(html, '')) AS sha
+            FROM pages
+        ), g AS (SELECT *, max(page_id) OVER (PARTITION BY sha) AS last_id FROM p)
+        SELECT page_id, payload_bytes, {_BASE32} AS payload_digest,
+               CASE WHEN page_id IS DISTINCT FROM last_id THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN page_id IS DISTINCT FROM last_id THEN last_id END AS refers_to
+        FROM g""",
+}
