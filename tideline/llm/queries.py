@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import decontaminate, html_text, language_id, near_duplicates, quality_classifier, secrets, toxicity, warc
+from tideline.llm import decontaminate, html_text, language_id, mixing, near_duplicates, quality_classifier, secrets, toxicity, warc
 from tideline.llm.samples import held_out
 
 
@@ -43,6 +43,12 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the mix takes of every document."""
+    mixed = mixing.mix(_table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page as read back from the archive, in the order of the merged index."""
     index = warc.archive_index(_table(spark, sf_dir, "pages"))
@@ -98,6 +104,7 @@ QUERIES = {
         op1_language_id,
         op2_decontaminate,
         op3_toxicity,
+        op4_mixing,
         op5_warc,
         op6_secrets,
         op8_html_text,
@@ -115,6 +122,51 @@ _BASE32 = "||".join(
 )
 
 ORACLES: dict[str, str] = {
+    "op4_mixing": r"""
+        WITH d AS (
+            SELECT doc_id, source,
+                   coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
+                   CASE WHEN length(text) > 0
+                        THEN (length(text) - length(translate(text, '#*$%&|<>!{}[]^~=@_', '')))::DOUBLE / length(text)
+                        ELSE 1.0::DOUBLE END AS share
+            FROM documents
+        ), k AS (
+            SELECT doc_id, source, size,
+                   -ln((('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT::DOUBLE + 0.5::DOUBLE)
+                       / 4503599627370496::DOUBLE)
+                   / (greatest(1, least(10, ceil(10::DOUBLE * (1::DOUBLE - 4::DOUBLE * share))::INT))::DOUBLE
+                      / 10::DOUBLE) AS key
+            FROM d
+        ), s AS (
+            SELECT source, sum(size)::BIGINT AS source_size FROM k GROUP BY source
+        ), w AS (
+            SELECT *, (3 * source_size)::DOUBLE AS cap,
+                   CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3
+                        WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight
+            FROM s
+        ), t AS (
+            SELECT *, ((sum(source_size) OVER ())::DOUBLE
+                       - coalesce(sum(cap) OVER (ORDER BY cap / weight, source NULLS LAST
+                                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+                      / sum(weight) OVER (ORDER BY cap / weight, source NULLS LAST
+                                          ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS share
+            FROM w
+        ), g AS (
+            SELECT source, source_size,
+                   least(cap, weight * max(CASE WHEN share <= cap / weight THEN share END) OVER ()) AS target
+            FROM t
+        ), e AS (
+            SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END::BIGINT AS epochs FROM g
+        ), r AS (
+            SELECT k.doc_id, k.size, e.source_size, e.target, e.epochs,
+                   floor(e.target)::BIGINT - e.epochs * e.source_size AS budget,
+                   coalesce(sum(k.size) OVER (PARTITION BY k.source ORDER BY k.key, k.doc_id, k.size
+                            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before
+            FROM k JOIN e ON k.source IS NOT DISTINCT FROM e.source
+        )
+        SELECT doc_id, size, source_size, target,
+               (epochs * size + greatest(0, least(size, budget - before)))::BIGINT AS taken
+        FROM r""",
     "op5_warc": f"""
         WITH p AS (
             SELECT page_id, octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes,
