@@ -13,15 +13,16 @@ Classes are the connected components of the links of weighted Jaccard similarity
 1. Texts with equal multisets are one vertex (a 128-bit key), so copies cost one
    row after a partial aggregation.
 2. Signatures are cut into bands; vertices that share a band share a bucket.
-3. Every member of a bucket is compared with the bucket's first vertex, which for
-   a group of near copies, however large, takes one comparison a member.
-4. Where a bucket then still holds several components, each vertex outside its
-   largest component is compared with all members of other components, in rounds
-   of ``STRAYS`` such vertices a bucket. No pair that shares a bucket and could
-   join two classes is left out.
+3. Every member of a bucket is compared with one vertex of it, the one that meets
+   most others over all buckets: for a group of near copies, however large, that
+   is one comparison a member, mostly with the text they were made from.
+4. Where the others in a bucket are then in several components, the vertices
+   outside its largest one (strays) look for similar vertices of other components
+   by their rarest members (``_stray_pairs``), which finds every one.
 
-All comparisons are exact, on the shingles themselves. At similarity 0.8 a pair
-shares none of the 36 bands of 6 rows with probability 2e-5.
+No link that would join two classes is left out between vertices that share a
+bucket. All comparisons are exact, on the shingles themselves. At similarity 0.8
+a pair shares none of the 36 bands of 6 rows with probability 2e-5.
 
 Null texts and texts without a word are in no class with others: their class is
 their own id. Documents of fewer than five words have one shingle of all words.
@@ -34,7 +35,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -44,7 +45,8 @@ from tideline.session import materialise
 
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 36, 6
-STRAYS = 64
+#: Ratio of sizes within a class of sizes.
+STEP = 1.04
 #: Rank of the first region's end; each later region doubles it.
 FIRST_RANK = 0.25
 
@@ -253,39 +255,77 @@ def components(edges: DataFrame) -> DataFrame:
 def _links(docs, doc_id, text, vertices, similarity):
     """Verified links between vertices that connect all classes."""
     entries = vertices.select("v", F.explode("buckets").alias("bucket"))
-    shared = entries.groupBy("bucket").agg(F.count("*").alias("n"), F.min("v").alias("first")).where("n > 1")
+    shared = entries.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
     entries = materialise(entries.join(shared, "bucket"))
+    # the vertex that meets most others stands in the middle of its group
+    middle = entries.groupBy("v").agg(F.sum("n").alias("met"))
+    entries = materialise(entries.join(middle, "v"))
+    first = entries.groupBy("bucket").agg(F.max_by("v", F.struct("met", "v")).alias("first"))
+    entries = materialise(entries.select("bucket", "v").join(first, "bucket"))
     pairs = entries.where("v != first").select(F.col("first").alias("a"), F.col("v").alias("b")).distinct()
-    pairs = materialise(pairs)
-    wanted = entries.select("v").distinct().join(vertices.select("v", "doc_id"), "v")
+    wanted = middle.join(vertices.select("v", "doc_id"), "v")
     members = materialise(_members(docs, doc_id, text, wanted))
     edges = materialise(_verified(pairs, members, similarity))
 
-    labels = components(edges)
-    placed = entries.join(labels, "v", "left").withColumn("c", F.coalesce("c", "v"))
-    sizes = placed.groupBy("bucket", "c").agg(F.count("*").alias("size"))
-    main = (
-        sizes.groupBy("bucket")
-        .agg(F.max_by("c", F.struct("size", "c")).alias("main"), F.sum("size").alias("n"), F.max("size").alias("most"))
-        .where("n > most")
+    rest = entries.where("v != first").join(components(edges), "v", "left")
+    rest = rest.select("bucket", "v", F.coalesce("c", "v").alias("c"))
+    sizes = rest.groupBy("bucket", "c").agg(F.count("*").alias("size"))
+    main = sizes.groupBy("bucket").agg(F.max_by("c", F.struct("size", "c")).alias("main"), F.count("*").alias("n"))
+    rest = rest.join(main.where("n > 1").drop("n"), "bucket")
+    rest = materialise(rest.groupBy("v", "c").agg(F.max(F.col("c") != F.col("main")).alias("stray")))
+    pairs = _stray_pairs(rest.join(members, "v"), similarity)
+    return edges.unionByName(materialise(_verified(pairs, members, similarity)))
+
+
+def _stray_pairs(rest: DataFrame, similarity: float) -> DataFrame:
+    """Pairs of a stray and a vertex of another component that can be similar enough.
+
+    ``rest`` has v, its component c, whether it is a stray, and its members. If x
+    and y are similar, they share ``need`` members or more, so in any one order of
+    all members they share one among the first ``size - need + 1`` of each. With
+    the rarest first, what only one text has fills the beginning of the list of a
+    text that was changed much, and it meets no other. ``need`` follows from both
+    sizes, so each stray looks into classes of sizes that differ by ``STEP``.
+    """
+    of = F.col("v"), F.col("c"), F.col("stray"), F.size("members").alias("size")
+    held = rest.select(*of, F.explode("members").alias("member"))
+    often = held.groupBy("member").agg(F.count("*").alias("often")).where("often > 1")
+    alone = F.col("size") - F.count("*").over(Window.partitionBy("v"))
+    order = F.row_number().over(Window.partitionBy("v").orderBy("often", "member"))
+    least = 1 - similarity
+    # members that no other vertex has come first, and are not listed
+    listed = held.join(often, "member").withColumn("place", order + alone)
+    listed = materialise(listed.where(F.col("place") <= F.floor(F.col("size") * least + 1e-9) + 1).drop("often"))
+
+    def need(x, y):
+        return F.ceil((x + y) * (similarity / (1 + similarity)) - 1e-9)
+
+    def step(size):
+        return F.floor(F.log(size) / F.log(F.lit(STEP)))
+
+    x = listed.where("stray").select(
+        F.col("v").alias("x"), F.col("c").alias("cx"), F.col("size").alias("nx"), F.col("place").alias("px"), "member"
+    )
+    reach = F.sequence(step(F.col("nx") * similarity) - 1, step(F.col("nx") / similarity) + 1)
+    x = x.withColumn("step", F.explode(reach))
+    smallest = F.greatest(F.pow(F.lit(STEP), F.col("step")) - 1, F.col("nx") * similarity)
+    x = x.where(F.col("px") <= F.col("nx") - need(F.col("nx"), smallest) + 1)
+    y = listed.select(
+        F.col("v").alias("y"),
+        F.col("c").alias("cy"),
+        F.col("size").alias("ny"),
+        F.col("place").alias("py"),
+        "member",
+        step(F.col("size")).alias("step"),
+    )
+    shared = need(F.col("nx"), F.col("ny"))
+    return (
+        x.join(y, ["member", "step"])
+        .where("cx != cy")
+        .where((F.col("px") <= F.col("nx") - shared + 1) & (F.col("py") <= F.col("ny") - shared + 1))
+        .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+        .distinct()
     )
-    placed = materialise(placed.select("bucket", "v", "c", "first").join(main, "bucket"))
-    rounds = placed.agg(F.max(F.ceil((F.col("n") - F.col("most")) / STRAYS))).first()[0] or 0
-    for r in range(rounds):
-        of = F.ceil((F.col("n") - F.col("most")) / STRAYS)
-        slot = F.pmod(F.xxhash64("v", "bucket"), of) == r
-        strays = placed.where("c != main").where(slot).where("v != first")
-        strays = strays.select("bucket", F.col("v").alias("a"), F.col("c").alias("ca"))
-        others = placed.select("bucket", F.col("v").alias("b"), F.col("c").alias("cb"), "main", "first")
-        # of two strays the lesser one brings the pair
-        pairs = (
-            strays.join(others, "bucket")
-            .where("ca != cb and b != first and (cb = main or a < b)")
-            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-            .distinct()
-        )
-        edges = edges.unionByName(materialise(_verified(pairs, members, similarity)))
-    return edges
 
 
 def classes(
