@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import decontaminate, html_text, language_id, mixing, near_duplicates, quality_classifier, secrets, toxicity, warc
+from tideline.llm import decontaminate, html_text, language_id, mixing, near_duplicates, quality_classifier, quality_rules, secrets, toxicity, warc
 from tideline.llm.samples import held_out
 
 
@@ -78,6 +78,13 @@ def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The figures of every document and what the rules make of it."""
+    judged = quality_rules.judge(_table(spark, sf_dir, "documents"))
+    counts = "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"
+    return judged.select("doc_id", *counts, "base_failed", "kept", "posterior")
+
+
 def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main text of every page."""
     pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
@@ -107,6 +114,7 @@ QUERIES = {
         op4_mixing,
         op5_warc,
         op6_secrets,
+        op7_quality_rules,
         op8_html_text,
         op9_quality_classifier,
         op10_near_duplicates,
