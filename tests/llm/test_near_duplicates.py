@@ -1,0 +1,148 @@
+import random
+import re
+from collections import Counter
+
+import numpy as np
+
+from tideline.llm import near_duplicates as nd
+from tideline.llm import queries, tokens
+
+
+def shingles(text):
+    w = re.findall(r"[^\W_]+", (text or "").lower())
+    k = min(5, len(w))
+    return Counter(tuple(w[i : i + k]) for i in range(len(w) - k + 1)) if k else Counter()
+
+
+def similarity(a, b):
+    shared = (a & b).total()
+    return shared / (a.total() + b.total() - shared) if shared else 0.0
+
+
+def brute(rows):
+    """Class of each row: connected by weighted Jaccard similarity of 0.8 or more."""
+    sets = [shingles(t) for _, t in rows]
+    parent = list(range(len(rows)))
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    owners = {}
+    for i, s in enumerate(sets):
+        for x in s:
+            owners.setdefault(x, []).append(i)
+    for i, s in enumerate(sets):
+        for j in {j for x in s for j in owners[x] if j < i}:
+            if root(i) != root(j) and similarity(s, sets[j]) >= 0.8 - 1e-12:
+                parent[root(i)] = root(j)
+    ids = {}
+    for i, (d, _) in enumerate(rows):
+        ids.setdefault(root(i), []).append(d)
+    least = {r: min((d for d in own if d is not None), default=None) for r, own in ids.items()}
+    return Counter((d, least[root(i)] if sets[i] else d) for i, (d, _) in enumerate(rows))
+
+
+def signature(weighted):
+    keys = sorted(weighted)
+    return nd.signatures(
+        np.array([hash(k) & (2**63 - 1) for k in keys], np.uint64),
+        np.array([weighted[k] for k in keys]),
+        np.array([0, len(keys)]),
+        k=2000,
+    )[0]
+
+
+def test_coordinates_agree_as_often_as_weights_overlap():
+    rng = random.Random(4)
+    for overlap in (0.2, 0.5, 0.8, 0.95):
+        a = {rng.getrandbits(60): rng.choice([1, 1, 2, 3, 9, 40]) for _ in range(150)}
+        b = {k if rng.random() < overlap else rng.getrandbits(60): v for k, v in a.items()}
+        b = {k: max(1, v + rng.choice([0, 0, 1])) for k, v in b.items()}
+        exact = sum(min(a[k], b[k]) for k in a.keys() & b.keys())
+        exact /= sum(max(a.get(k, 0), b.get(k, 0)) for k in a.keys() | b.keys())
+        agree = float((signature(a) == signature(b)).mean())
+        assert abs(agree - exact) < 4.5 * (exact * (1 - exact) / 2000) ** 0.5 + 1e-9
+
+
+def test_signatures_do_not_depend_on_other_texts():
+    many = ["a b c d e f g", "", "x " * 5000, "one", None, "a b c d e f g h"]
+    whole = nd.signatures(*nd.counted(*tokens.text_shingles(*tokens.words(many), 5)))
+    for i, t in enumerate(many):
+        own = nd.signatures(*nd.counted(*tokens.text_shingles(*tokens.words([t]), 5)))
+        assert (own[0] == whole[i]).all()
+    assert (whole[[1, 4]] == 0).all() and (whole[[0, 2, 3, 5]] != 0).all()
+
+
+def copies(rng, text, n, most):
+    out = []
+    for _ in range(n):
+        w = text.split()
+        for _ in range(rng.randrange(most + 1)):
+            w[rng.randrange(len(w))] = f"edit{rng.getrandbits(40)}"
+        out.append(" ".join(w))
+    return out
+
+
+def corpus(seed, groups, most):
+    rng = random.Random(seed)
+    text = lambda n: " ".join(f"w{rng.randrange(3000)}" for _ in range(n))
+    passage = text(60)
+    texts = [text(rng.randrange(1, 150)) for _ in range(60)]
+    texts += [passage + " " + text(rng.randrange(1, 90)) for _ in range(60)]
+    for n in groups:
+        texts += copies(rng, text(rng.randrange(30, 160)), n, most)
+    texts += ["", None, "same words", "Same, words!", "same words here", texts[0], texts[0]]
+    rng.shuffle(texts)
+    return [(i, t) for i, t in enumerate(texts)]
+
+
+def test_classes_match_brute_force(spark):
+    rows = corpus(5, [2, 2, 3, 5, 8, 20], 3)
+    rows += [(3, rows[3][1]), (3, "another text under the id of an earlier row"), (None, rows[9][1]), (None, None)]
+    found = nd.classes(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert Counter((r.doc_id, r.class_id) for r in found) == brute(rows)
+
+
+def test_large_group_with_texts_far_from_its_middle(spark):
+    rows = corpus(6, [150, 40], 6)
+    found = nd.classes(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert Counter((r.doc_id, r.class_id) for r in found) == brute(rows)
+
+
+def test_registered_query_matches_brute_force(spark, data):
+    rows = [tuple(r) for r in spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "text").collect()]
+    found = queries.op10_near_duplicates(spark, data).collect()
+    assert Counter((r.doc_id, r.class_id) for r in found) == brute(rows)
+
+
+def test_components_of_chains_and_stars(spark):
+    chain = [(bytes([i]), bytes([i + 1])) for i in range(40)]
+    star = [(bytes([100]), bytes([i])) for i in range(101, 140)]
+    edges = spark.createDataFrame(chain + star + chain[:3] + [(b"\xf0", b"\xf1")], "a binary, b binary")
+    found = {bytes(r.v): bytes(r.c) for r in nd.components(edges).collect()}
+    assert found == {
+        **{bytes([i]): b"\x00" for i in range(41)},
+        **{bytes([i]): b"\x64" for i in range(100, 140)},
+        b"\xf0": b"\xf0",
+        b"\xf1": b"\xf0",
+    }
+    assert nd.components(edges.limit(0)).count() == 0
+
+
+def test_one_of_each_class_stays(edges, nothing):
+    kept = nd.drop_near_duplicates(edges)
+    assert kept.columns == edges.columns
+    # the texts without a word stay all: 1, 2, 3, the null and 9; of the repeated text one row
+    left = sorted(str(r.doc_id) for r in kept.collect())
+    assert left in (["1", "2", "3", "4", "5", "7", "8", "9", "None"], ["1", "2", "3", "4", "7", "8", "9", "None", "None"])
+    assert nd.drop_near_duplicates(nothing).count() == 0
+    assert nd.classes(nothing).count() == 0
+
+
+def test_unique_ids_take_the_short_way_to_the_same(spark):
+    rows = corpus(7, [4, 6], 1)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    kept = {r.doc_id for r in nd.drop_near_duplicates(docs).collect()}
+    assert kept == {c for _, c in brute(rows)}
