@@ -60,6 +60,13 @@ BAD_NAMES = frozenset(
     "popup modal overlay comment comments commentlist reply replies respond disqus pagination pager copyright "
     "legal disclaimer skip contentinfo complementary teaser outbrain taboola".split()
 )
+#: Beginnings and ends of names written as one word, such as commentlist or topnav.
+BAD_PARTS = re.compile(
+    r"(?:cookie|comment|advert|sidebar|sidebox|sponsor|breadcrumb|newsletter|subscri|masthead|ad(?:box|slot|unit|wrap))"
+    r".*|.*(?:nav|menu|sidebar|comments|banner|footer)"
+)
+#: A name after one of these tells about the layout.
+NEGATORS = frozenset("has with no without".split())
 #: Bad only outside article and main.
 OUTER_NAMES = frozenset(["header", "site-header", "page-header"])
 
@@ -91,8 +98,11 @@ def _is_bad(tag: str, attributes: str, inner: bool) -> bool:
         return tag == "article" and bool(attributes) and "comment" in attributes.lower()
     for match in _NAMED.finditer(attributes):
         value = match[2] or match[3] or match[4] or ""
-        if any(part.lower() in BAD_NAMES for part in _NAME.findall(value)):
-            return True
+        before = ""
+        for part in map(str.lower, _NAME.findall(value)):
+            if before not in NEGATORS and (part in BAD_NAMES or BAD_PARTS.fullmatch(part)):
+                return True
+            before = part
         if not inner and any(name.lower() in OUTER_NAMES for name in value.split()):
             return True
     return _HIDDEN.search(attributes) is not None
@@ -175,6 +185,10 @@ def blocks(page: str) -> list[Block]:
         wrong = _is_bad(tag, attributes, inner > 0)
         if level or wrong:
             main = tag in ("article", "main")
+            if tag == "main" and bad:
+                # what holds the main part of a page was named for its layout
+                stack = [(t, False, i, v) for t, _, i, v in stack]
+                bad = 0
             stack.append((tag, wrong, main, level))
             bad += wrong
             inner += main
