@@ -25,7 +25,7 @@ def test_the_dictionary_of_like_text_compresses_better():
     model = qc.CompressionModel(qc.build_dictionary(bad), qc.build_dictionary(good))
     assert model.features("the night of the day was in the house of the queen " * 3)[0] > 0
     assert model.features("BUY$$$ NOW!!! CHEAP### things %%% DEAL***" * 3)[0] < 0
-    assert model.features("") == model.features(None) == (0.0, 0.0)
+    assert model.features("") == model.features(None) == (0.0, 0.0, 0.0)
 
 
 def test_edges(spark, edges, nothing):

@@ -3,9 +3,9 @@
 Two zstandard dictionaries are built, from good and from bad labelled text. A
 text is compressed with each, in chunks of ``CHUNK`` bytes, so that the dictionary
 and not the text's own history decides whatever the length. The difference of the
-two sizes divided by the text's size, together with how well it compresses at all,
-becomes a probability by logistic calibration on labelled rows that gave nothing
-to the dictionaries.
+two sizes divided by the text's size, together with how well it compresses at all
+and, for texts shorter than a chunk, its length, becomes a probability by logistic
+calibration on labelled rows that gave nothing to the dictionaries.
 
 The fit reads at most ``SAMPLE_ROWS`` rows of each label and at most
 ``SAMPLE_CHUNKS`` chunks of each for a dictionary; scoring is one pass over all
@@ -79,14 +79,14 @@ class CompressionModel:
                 )
         return self._ready
 
-    def features(self, text: str | None) -> tuple[float, float]:
-        """Normalised difference of the compressed sizes, and log of their sum over the size."""
+    def features(self, text: str | None) -> tuple[float, float, float]:
+        """Normalised difference of the compressed sizes, log of their sum over the size, log of the size."""
         parts = chunks(text)
         if not parts:
-            return 0.0, 0.0
+            return 0.0, 0.0, 0.0
         bad, good = (sum(len(c.compress(p)) for p in parts) for c in self._compressors())
         size = sum(map(len, parts))
-        return (bad - good) / size, float(np.log((bad + good) / size))
+        return (bad - good) / size, float(np.log((bad + good) / size)), float(np.log(min(size, CHUNK)))
 
     def scores(self, texts: list[str | None]) -> np.ndarray:
         if not texts:
@@ -129,15 +129,14 @@ def fit(
 
     def measure(batches):
         for batch in batches:
-            found = np.array([model.features(t) for t in batch["text"].to_pylist()]).reshape(-1, 2)
+            found = np.array([model.features(t) for t in batch["text"].to_pylist()]).reshape(-1, 3)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(found[:, 0]), pa.array(found[:, 1]), batch["y"], batch["key"].cast(pa.string())],
-                names=["d", "r", "y", "key"],
+                [*(pa.array(found[:, i]) for i in range(3)), batch["y"]], names=["d", "r", "n", "y"]
             )
 
-    other = rows.where(half == 1).select("text", "y", "key")
-    seen = sorted(other.mapInArrow(measure, "d double, r double, y int, key string").collect())
-    x = np.array([(r.d, r.r) for r in seen]).reshape(-1, 2)
+    other = rows.where(half == 1).select("text", "y")
+    seen = sorted(other.mapInArrow(measure, "d double, r double, n double, y int").collect())
+    x = np.array([(r.d, r.r, r.n) for r in seen]).reshape(-1, 3)
     model.calibration = Logistic(x, np.array([r.y for r in seen], float))
     return model
 
