@@ -12,7 +12,7 @@ from functools import cache
 
 import numpy as np
 
-SLICE = 1_000_000
+SLICE = 400_000
 _BASE = 0x9E3779B97F4A7C15 | 1
 _MASK = (1 << 64) - 1
 
