@@ -180,20 +180,26 @@ class ToxicityModel:
 
 
 def _contexts(batches):
-    """Distinct (half, word, context, y) of labelled rows."""
+    """(half, word, context, y) of labelled rows, with few repeats."""
+    names, types = ("half", "word", "context", "y"), (pa.int32(), pa.string(), pa.int64(), pa.int32())
+
+    def flush(rows):
+        columns = zip(*sorted(rows), strict=True) if rows else ((),) * 4
+        arrays = [pa.array(c, t) for c, t in zip(columns, types, strict=True)]
+        rows.clear()
+        return pa.RecordBatch.from_arrays(arrays, names=names)
+
+    out = set()
     for batch in batches:
-        out = set()
         columns = (batch[c].to_pylist() for c in ("half", "text", "y"))
         for half, text, y in zip(*columns, strict=True):
             read = ["\n", *_TOKEN.findall((text or "").lower()), "\n"]
             for before, word, after in zip(read, read[1:], read[2:]):
                 if len(word) > 1:
                     out.add((half, word, zlib.crc32(f"{before} {after}".encode()), y))
-        columns = zip(*sorted(out), strict=True) if out else ((),) * 4
-        types = (pa.int32(), pa.string(), pa.int64(), pa.int32())
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["half", "word", "context", "y"]
-        )
+            if len(out) > 50_000:
+                yield flush(out)
+    yield flush(out)
 
 
 def _count(rows: DataFrame) -> DataFrame:
