@@ -41,6 +41,8 @@ def test_registered_query_gives_the_article(spark, data):
         (f"<body class='has-sidebar'><div id=main-content><p>{LONG}</p></div><aside>{LONG}</aside>", LONG),
         (f"<div class='layout with-sidebar'><p>{LONG}</p><div class=topnav>{LONG}</div></div>", LONG),
         (f"<div class='page sidebar-right'><main><p>{LONG}</p></main><ul class=commentlist><li>{LONG}</ul></div>", LONG),
+        (f"<head><title>x</title><body><p>{LONG}</p><nav>{LONG}", LONG),
+        (f"<nav><ul><li>{LONG}<article><p>{LONG}</p></article>", LONG),
         (f"<p>{LONG}</p><script>never closed <p>{LONG}</p>", LONG),
         (f"<table><tr><td>{LONG}</td><td>b</td></tr></table>", f"{LONG} b"),
         ("<article><p>Tiny.</p><p>Also tiny.</p></article><footer>x</footer>", "Tiny.\n\nAlso tiny."),

@@ -65,6 +65,8 @@ BAD_PARTS = re.compile(
     r"(?:cookie|comment|advert|sidebar|sidebox|sponsor|breadcrumb|newsletter|subscri|masthead|ad(?:box|slot|unit|wrap))"
     r".*|.*(?:nav|menu|sidebar|comments|banner|footer)"
 )
+#: Parts that cannot hold these, so that one still open was not closed.
+UNCLOSED = {"body": frozenset(["head"]), "article": frozenset(["head", "nav", "header"])}
 #: A name after one of these tells about the layout.
 NEGATORS = frozenset("has with no without".split())
 #: Bad only outside article and main.
@@ -185,8 +187,8 @@ def blocks(page: str) -> list[Block]:
         wrong = _is_bad(tag, attributes, inner > 0)
         if level or wrong:
             main = tag in ("article", "main")
-            if tag == "main" and bad:
-                # what holds the main part of a page was named for its layout
+            if bad and (tag == "main" or (tag in UNCLOSED and all(t in UNCLOSED[tag] for t, b, *_ in stack if b))):
+                # what holds the main part was named for its layout, or was never closed
                 stack = [(t, False, i, v) for t, _, i, v in stack]
                 bad = 0
             stack.append((tag, wrong, main, level))
