@@ -31,7 +31,7 @@ WEIGHTS, LIMIT = (5, 2, 1), 3
 #: Characters that prose has few of; quality falls by four times their share.
 SYMBOLS = "#*$%&|<>!{}[]^~=@_"
 LEVELS = 10
-SLICE_ROWS = 20_000
+SLICE_ROWS = 5_000
 
 
 def word_count(text: Column) -> Column:
