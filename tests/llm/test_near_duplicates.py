@@ -146,3 +146,21 @@ def test_unique_ids_take_the_short_way_to_the_same(spark):
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
     kept = {r.doc_id for r in nd.drop_near_duplicates(docs).collect()}
     assert kept == {c for _, c in brute(rows)}
+
+
+def test_an_id_with_two_texts_loses_only_the_copy(spark):
+    rows = [(1, "one two three four five six"), (3, "a text of its own here"), (3, "One two three four five six!")]
+    kept = nd.drop_near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert sorted(tuple(r) for r in kept) == rows[:2]
+
+
+def test_filter_of_ids_passes_all_it_holds(spark, monkeypatch):
+    ids = spark.range(0, 4000, 2).toDF("doc_id")
+    for bits in (1 << 25, 1 << 8):  # the second is far too small for so many
+        monkeypatch.setattr(nd, "FILTER_BITS", bits)
+        passed = {r.id for r in spark.range(4000).where(nd._Ids(ids).may_hold(nd.F.col("id"))).collect()}
+        assert passed >= set(range(0, 4000, 2))
+        assert len(passed) < 2150 or bits == 1 << 8
+    rows = corpus(8, [3, 9], 1)
+    kept = nd.drop_near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert {r.doc_id for r in kept.collect()} == {c for _, c in brute(rows)}

@@ -24,6 +24,9 @@ No link that would join two classes is left out between vertices that share a
 bucket. All comparisons are exact, on the shingles themselves. At similarity 0.8
 a pair shares none of the 36 bands of 6 rows with probability 2e-5.
 
+Whole texts are shuffled only where they are candidates, or to be dropped: a
+filter of at most ``FILTER_BITS`` bits lets the others stay where they are.
+
 Null texts and texts without a word are in no class with others: their class is
 their own id. Documents of fewer than five words have one shingle of all words.
 A class has the least id of its members (null only if all are null).
@@ -34,6 +37,7 @@ from __future__ import annotations
 from functools import cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -45,6 +49,7 @@ from tideline.session import materialise
 
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 36, 6
+FILTER_BITS = 1 << 25
 #: Ratio of sizes within a class of sizes.
 STEP = 1.04
 #: Rank of the first region's end; each later region doubles it.
@@ -186,6 +191,39 @@ def _sketch(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     return source.mapInArrow(sketch, schema)
 
 
+class _Ids:
+    """A Bloom filter of ids: most rows without a wanted id need not be shuffled to find that out.
+
+    It has ten bits an id, but ``FILTER_BITS`` at most whatever their number; more
+    ids than fit let more rows pass, and those are told apart by the join after it.
+    """
+
+    def __init__(self, ids: DataFrame):
+        n = ids.count()
+        self.bits = 1 << min(FILTER_BITS.bit_length() - 1, max(6, (10 * n).bit_length()))
+        at = ids.select(F.explode(F.array(*self._places(F.col(ids.columns[0])))).alias("at"))
+        word = F.shiftright("at", 6)
+        bit = F.expr("shiftleft(1L, cast(at & 63 as int))")
+        words = at.groupBy(word.alias("word")).agg(F.bit_or(bit).alias("bits")).toArrow()
+        self.words = np.zeros(self.bits >> 6, np.uint64)
+        self.words[words["word"].to_numpy()] = words["bits"].to_numpy().view(np.uint64)
+
+    def _places(self, doc_id):
+        return [F.pmod(F.xxhash64(F.lit(i), doc_id), F.lit(self.bits)) for i in range(3)]
+
+    def may_hold(self, doc_id):
+        words = self.words
+
+        @F.pandas_udf("boolean")
+        def held(a: pd.Series, b: pd.Series, c: pd.Series) -> pd.Series:
+            found = np.ones(len(a), bool)
+            for at in (a.to_numpy(), b.to_numpy(), c.to_numpy()):
+                found &= (words[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) == 1
+            return pd.Series(found)
+
+        return held(*self._places(doc_id))
+
+
 def _members(docs: DataFrame, doc_id: str, text: str, wanted: DataFrame) -> DataFrame:
     """v and its members (``occurrences``), for the vertices in ``wanted`` (v, doc_id)."""
     schema = "v binary, members array<bigint>"
@@ -207,6 +245,7 @@ def _members(docs: DataFrame, doc_id: str, text: str, wanted: DataFrame) -> Data
                 )
 
     source = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
+    source = source.where(_Ids(wanted.select("doc_id")).may_hold(F.col("id")))
     joined = source.join(wanted, F.col("id").eqNullSafe(F.col("doc_id"))).select("v", "text")
     # repeated rows give the same members
     return joined.mapInArrow(expand, schema).dropDuplicates(["v"])
@@ -263,7 +302,7 @@ def _links(docs, doc_id, text, vertices, similarity):
     first = entries.groupBy("bucket").agg(F.max_by("v", F.struct("met", "v")).alias("first"))
     entries = materialise(entries.select("bucket", "v").join(first, "bucket"))
     pairs = entries.where("v != first").select(F.col("first").alias("a"), F.col("v").alias("b")).distinct()
-    wanted = middle.join(vertices.select("v", "doc_id"), "v")
+    wanted = materialise(middle.join(vertices.select("v", "doc_id"), "v").select("v", "doc_id"))
     members = materialise(_members(docs, doc_id, text, wanted))
     edges = materialise(_verified(pairs, members, similarity))
 
@@ -356,11 +395,11 @@ def drop_near_duplicates(
     The one with the least id stays; of repeated rows with one id and one text, any.
     """
     every = materialise(classes(docs, doc_id=doc_id, text=text, similarity=similarity))
-    alone = every.where("v is null or class_id is null or doc_id = class_id").groupBy("doc_id").count()
-    repeated = not alone.where("doc_id is null or count > 1").isEmpty()
-    if not repeated:
-        stay = every.where("v is null or doc_id = class_id").select(F.col("doc_id").alias("__stay"))
-        return docs.join(stay, F.col(doc_id) == F.col("__stay"), "left_semi")
+    if every.groupBy("doc_id").count().where("doc_id is null or count > 1").isEmpty():
+        go = every.where("v is not null and doc_id <> class_id").select(F.col("doc_id").alias("__go"))
+        perhaps = _Ids(go).may_hold(F.col(doc_id))
+        rest = docs.where(perhaps).join(go, F.col(doc_id) == F.col("__go"), "left_anti")
+        return docs.where(~perhaps).unionByName(rest)
     # ids do not tell rows apart, so rows are matched by id and text, and one of equals is taken
     first = every.where("v is not null").groupBy("class_id").agg(F.min(F.struct("doc_id", "v")).alias("s"))
     stay = first.select(F.col("s.doc_id").alias("__stay"), F.col("s.v").alias("__v"))
