@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 from tideline.llm import decontaminate, html_text, language_id, mixing, near_duplicates, quality_classifier, quality_rules, secrets, toxicity, warc
 from tideline.llm.samples import held_out
+from tideline.llm.workers import importable
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
