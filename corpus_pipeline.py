@@ -19,27 +19,32 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideline.llm import decontaminate, mixing, near_duplicates, quality_classifier, secrets
+from tideline.llm.workers import importable
 from tideline.session import materialise
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of good quality, by a classifier fitted on the labels of the corpus."""
+    importable(spark)
     model = quality_classifier.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return quality_classifier.keep_good(docs, model)
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near duplicates."""
+    importable(spark)
     return near_duplicates.drop_near_duplicates(docs)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
+    importable(spark)
     return decontaminate.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with their secrets replaced."""
+    importable(spark)
     return secrets.redact(docs, secrets.fit(docs))
 
 
