@@ -195,7 +195,7 @@ def find_matches(
 
         def search(batches, block=block):
             held = _Items(block, shingle, radius)
-            for batch in batches:
+            for batch in tokens.small(batches):
                 texts, ids = batch["text"].to_pylist(), batch["doc_id"].to_pylist()
                 rows = [
                     (ids[n], held.ids[i], score, start, words, int(d))
@@ -224,7 +224,7 @@ def drop_contaminated(
 
         def keep(batches, block=block):
             held = _Items(block, shingle, radius)
-            for batch in batches:
+            for batch in tokens.small(batches):
                 clean = np.ones(batch.num_rows, bool)
                 for n, *_ in _scan(batch[text].to_pylist(), held, shingle, similarity):
                     clean[n] = False

@@ -29,6 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from tideline.llm import tokens
+
 SHORT, LINKS, STOPS, STOPS_KNOWN, SECTION_STEP = 70, 0.4, 0.1, 0.04, 3
 
 #: Words and names the rules look for.
@@ -254,7 +256,7 @@ def main_text(pages: DataFrame, *, source: str = "html", name: str = "text") ->
     schema = T.StructType([*kept.schema.fields, T.StructField(name, T.StringType())])
 
     def run(batches):
-        for batch in batches:
+        for batch in tokens.small(batches):
             texts = [extract(p) for p in batch[source].to_pylist()]
             yield batch.append_column(name, pa.array(texts, pa.string()))
 

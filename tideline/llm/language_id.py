@@ -155,7 +155,7 @@ def fit(
     taken = known.where("text is not null").where(chance < shares[F.col("lang")])
 
     def vectors(batches):
-        for batch in batches:
+        for batch in tokens.small(batches):
             texts = batch["text"].to_pylist()
             for lo, hi in _parts(texts):
                 counts = ngram_counts(texts[lo:hi])
@@ -191,7 +191,7 @@ def identify(docs: DataFrame, model: LanguageModel, *, text: str = "text") -> Da
     arrow = to_arrow_schema(added)
 
     def run(batches):
-        for batch in batches:
+        for batch in tokens.small(batches):
             texts = batch[text].to_pylist()
             found = [r for lo, hi in _parts(texts) for r in model.predict(texts[lo:hi])]
             columns = zip(*found, strict=True) if found else ((),) * 4

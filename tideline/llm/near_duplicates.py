@@ -173,7 +173,7 @@ def _sketch(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     arrow = to_arrow_schema(schema)
 
     def sketch(batches):
-        for batch in batches:
+        for batch in tokens.small(batches):
             texts = batch["text"].to_pylist()
             for lo, hi, shingled, bounds in _each_slice(texts):
                 own = bands(signatures(*counted(shingled, bounds)))
@@ -230,7 +230,7 @@ def _members(docs: DataFrame, doc_id: str, text: str, wanted: DataFrame) -> Data
     arrow = pa.schema([("v", pa.binary()), ("members", pa.list_(pa.int64()))])
 
     def expand(batches):
-        for batch in batches:
+        for batch in tokens.small(batches):
             keys = batch["v"].to_pylist()
             for lo, _, shingled, bounds in _each_slice(batch["text"].to_pylist()):
                 own = occurrences(*counted(shingled, bounds))
@@ -415,7 +415,7 @@ def _with_vertex(docs: DataFrame, text: str) -> DataFrame:
     schema = T.StructType([*docs.schema.fields, T.StructField("__vertex", T.BinaryType())])
 
     def add(batches):
-        for batch in batches:
+        for batch in tokens.small(batches):
             keys = []
             for *_, shingled, bounds in _each_slice(batch[text].to_pylist()):
                 keys += vertex_keys(shingled, bounds)

@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tideline.llm import tokens
 from tideline.llm.samples import Logistic, labelled_rows
 from tideline.session import materialise
 
@@ -111,7 +112,7 @@ def fit(
     half = F.pmod(F.xxhash64(F.lit("half"), "key"), F.lit(2))
 
     def cut(batches):
-        for batch in batches:
+        for batch in tokens.small(batches):
             pairs = zip(batch["text"].to_pylist(), batch["y"].to_pylist(), strict=True)
             cuts = [(y, zlib.crc32(c), c) for t, y in pairs for c in chunks(t)]
             columns = zip(*cuts, strict=True) if cuts else ((), (), ())
@@ -128,7 +129,7 @@ def fit(
     model = CompressionModel(*built)
 
     def measure(batches):
-        for batch in batches:
+        for batch in tokens.small(batches):
             found = np.array([model.features(t) for t in batch["text"].to_pylist()]).reshape(-1, 3)
             yield pa.RecordBatch.from_arrays(
                 [*(pa.array(found[:, i]) for i in range(3)), batch["y"]], names=["d", "r", "n", "y"]
@@ -147,7 +148,7 @@ def score(docs: DataFrame, model: CompressionModel, *, text: str = "text", name:
     schema = T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())])
 
     def run(batches):
-        for batch in batches:
+        for batch in tokens.small(batches):
             yield batch.append_column(name, pa.array(model.scores(batch[text].to_pylist())))
 
     return docs.mapInArrow(run, schema)
@@ -159,7 +160,7 @@ def keep_good(
     """The documents that score at least ``threshold``, with their columns."""
 
     def run(batches):
-        for batch in batches:
+        for batch in tokens.small(batches):
             good = model.scores(batch[text].to_pylist()) >= threshold
             yield batch.filter(pa.array(good))
 

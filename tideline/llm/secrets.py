@@ -34,6 +34,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from tideline.llm import tokens
+
 KINDS = ("assign", "access", "hex", "random")
 #: The known forms, and the least length of what must match.
 ASSIGN = re.compile(
@@ -178,7 +180,7 @@ def fit(docs: DataFrame, *, text: str = "text", rate: float = RATE) -> list[int]
 
     def count(batches):
         grid = np.zeros((2, len(LENGTH_CLASSES) + 1, DEGREES), np.int64)
-        for batch in batches:
+        for batch in tokens.small(batches):
             for t in batch["text"].to_pylist():
                 if not t:
                     continue
@@ -215,7 +217,7 @@ def find(docs: DataFrame, limits: list[int], *, text: str = "text") -> DataFrame
     field = to_arrow_schema(added).field(0)
 
     def run(batches):
-        for batch in batches:
+        for batch in tokens.small(batches):
             found = [
                 [{"kind": KINDS[k], "start": s, "end": e} for s, k, e in spans(t, limits)]
                 for t in batch[text].to_pylist()
@@ -258,7 +260,7 @@ def redact(
         return "".join([*out, t[at:]])
 
     def run(batches):
-        for batch in batches:
+        for batch in tokens.small(batches):
             own = batch.schema.get_field_index(text)
             old = batch[text].to_pylist()
             new = [clean(t) for t in old]

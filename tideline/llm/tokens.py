@@ -7,12 +7,14 @@ follows the slice, or one text if that is longer, and not the Arrow batch.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import cache
 
 import numpy as np
+import pyarrow as pa
 
 SLICE = 400_000
+BATCH_ROWS = 256
 _BASE = 0x9E3779B97F4A7C15 | 1
 _MASK = (1 << 64) - 1
 
@@ -59,6 +61,13 @@ class _Powers:
 _UP, _DOWN = _Powers(_BASE), _Powers(pow(_BASE, -1, 1 << 64))
 
 
+def small(batches: Iterable[pa.RecordBatch], rows: int = BATCH_ROWS) -> Iterator[pa.RecordBatch]:
+    """The rows of Arrow batches a few at a time: a whole batch of texts as Python strings takes much memory."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def slices(texts: list[str | None], size: int = SLICE) -> Iterator[tuple[int, int]]:
     """Ranges of ``texts`` that hold about ``size`` characters each."""
     lo, held = 0, 0

@@ -35,6 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tideline.llm import tokens
 from tideline.llm.samples import Logistic, labelled_rows
 from tideline.session import materialise
 
@@ -190,7 +191,7 @@ def _contexts(batches):
         return pa.RecordBatch.from_arrays(arrays, names=names)
 
     out = set()
-    for batch in batches:
+    for batch in tokens.small(batches):
         columns = (batch[c].to_pylist() for c in ("half", "text", "y"))
         for half, text, y in zip(*columns, strict=True):
             read = ["\n", *_TOKEN.findall((text or "").lower()), "\n"]
@@ -263,7 +264,7 @@ def fit(
     halves = [ToxicityModel(_lexicon(counts.where(F.col("half") != h), entries)) for h in (0, 1)]
 
     def measure(batches):
-        for batch in batches:
+        for batch in tokens.small(batches):
             pairs = zip(batch["text"].to_pylist(), batch["half"].to_pylist(), strict=True)
             found = np.array([halves[h].features(t) for t, h in pairs]).reshape(-1, 3)
             yield pa.RecordBatch.from_arrays(
@@ -281,7 +282,7 @@ def score(docs: DataFrame, model: ToxicityModel, *, text: str = "text", name: st
     schema = T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())])
 
     def run(batches):
-        for batch in batches:
+        for batch in tokens.small(batches):
             yield batch.append_column(name, pa.array(model.scores(batch[text].to_pylist())))
 
     return docs.mapInArrow(run, schema)
