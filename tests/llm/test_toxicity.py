@@ -29,6 +29,19 @@ def test_a_threat_needs_a_target_before_it():
     assert weights("you. candles burn") == []
 
 
+def test_a_target_counts_anywhere_in_the_clause():
+    threat = toxicity.THREAT_WEIGHT * toxicity.TARGETED
+    assert weights("I will kill you.") == [threat]
+    assert weights("we should shoot them") == [threat]
+    assert weights("Je vais tuer tous, toi aussi") == [threat]
+    assert weights("idiot, all of you") == [4.0 * toxicity.TARGETED]
+    assert weights("an idiot will hurt you") == [(4.0 + toxicity.THREAT_WEIGHT) * toxicity.TARGETED]
+    assert weights("I will never kill you") == [threat * toxicity.NEGATED]
+    assert weights("candles burn. you") == weights("candles burn\nthem") == []
+    assert weights("idiot. you") == [4.0]
+    assert MODEL.features("I will kill you.") > MODEL.features("I will meet you.")
+
+
 def test_composition_is_total():
     following, insult, threat = toxicity.compose()
     assert len(following) == len(insult) == len(threat) == 2 * (toxicity.NEGATION_REACH + 1) * 4

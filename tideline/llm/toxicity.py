@@ -7,8 +7,9 @@ whether a negation stands at most ``NEGATION_REACH`` tokens back, whether the
 clause is reported or quoted speech, and which matches count. Their composition is
 one table, and each clause gets the weight of its matches under it: an insult
 counts more with a target, less when negated or reported; a threat word counts
-only in a clause with a target. A text is scored by its strongest clause and the
-sum over clauses, calibrated on labelled rows.
+only in a clause with a target. The target may stand before or after the match,
+so it is settled at the end of the clause. A text is scored by its strongest clause
+and the sum over clauses, calibrated on labelled rows.
 
 Insults are learned: words, and beginnings of words, whose contexts (the pair of
 neighbours, so that copies of a text count once) lie in toxic texts more often
@@ -89,19 +90,24 @@ def _report(state: int, symbol: int) -> int:
     return state ^ 2 if symbol == QUOTE else state
 
 
-def _factor(target: int, negation: int, report: int) -> float:
-    return (TARGETED if target else 1.0) * (NEGATED if negation else 1.0) * (REPORTED if report else 1.0)
+def _factor(negation: int, report: int) -> float:
+    return (NEGATED if negation else 1.0) * (REPORTED if report else 1.0)
 
 
-def compose() -> tuple[list[list[int]], list[float], list[float]]:
-    """Next state by state and symbol, and the factors of insults and of threats by state."""
+def compose() -> tuple[list[list[int]], list[float], list[tuple[float, float]]]:
+    """Next state by state and symbol, the factor of a match by the state in which it is read,
+    and the factors of a clause's insults and of its threats by the state at its end."""
     states = list(product(range(2), range(NEGATION_REACH + 1), range(4)))
     place = {s: i for i, s in enumerate(states)}
     following = [
         [place[_target(t, x), _negation(n, x), _report(r, x)] for x in range(FIRST_INSULT + 1)]
         for t, n, r in states
     ]
-    return following, [_factor(*s) for s in states], [_factor(*s) if s[0] else 0.0 for s in states]
+    return (
+        following,
+        [_factor(n, r) for _, n, r in states],
+        [(TARGETED, TARGETED) if t else (1.0, 0.0) for t, _, _ in states],
+    )
 
 
 class _Symbols(dict):
@@ -150,24 +156,24 @@ class ToxicityModel:
 
     def clauses(self, text: str | None) -> tuple[list[tuple[int, float]], int]:
         """(clause number, weight) of the clauses with a match, and the number of tokens."""
-        symbols, weights, following, insult, threat = self._machine()
+        symbols, weights, following, match, end = self._machine()
         read = list(map(symbols.__getitem__, _TOKEN.findall((text or "").lower())))
         if not read or max(read) < THREAT:
             return [], len(read)
-        found, state, number, weight = [], 0, 0, 0.0
-        for symbol in read:
+        found, state, number, insults, threats = [], 0, 0, 0.0, 0.0
+        for symbol in (*read, END):
             if symbol >= FIRST_INSULT:
-                weight += weights[symbol - FIRST_INSULT] * insult[state]
+                insults += weights[symbol - FIRST_INSULT] * match[state]
                 symbol = FIRST_INSULT
             elif symbol == THREAT:
-                weight += THREAT_WEIGHT * threat[state]
+                threats += THREAT_WEIGHT * match[state]
             elif symbol == END:
+                insult, threat = end[state]
+                weight = insults * insult + threats * threat
                 if weight:
                     found.append((number, weight))
-                number, weight = number + 1, 0.0
+                number, insults, threats = number + 1, 0.0, 0.0
             state = following[state][symbol]
-        if weight:
-            found.append((number, weight))
         return found, len(read)
 
     def features(self, text: str | None) -> tuple[float, float, float]:
