@@ -141,6 +141,29 @@ def test_one_of_each_class_stays(edges, nothing):
     assert nd.classes(nothing).count() == 0
 
 
+def test_copies_of_texts_without_a_letter_or_digit_are_found(spark):
+    rule = " ".join("*-=~#+!?"[i % 8] * (i + 1) for i in range(60))
+    texts = ["!!! ??? ###", "\U0001f600 \U0001f600", None, " \t\n", "", "!!! ??? ###", " !!!  ???\n### ", "### ??? !!!"]
+    texts += ["\U0001f600 \U0001f600", " ", None, rule, rule + " ^^", "___", "one two", "___"]
+    rows = list(enumerate(texts))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = {r.doc_id: r.class_id for r in nd.classes(docs).collect()}
+    assert found == {i: {5: 0, 6: 0, 8: 1, 12: 11, 15: 13}.get(i, i) for i in range(len(rows))}
+    kept = {r.doc_id for r in nd.drop_near_duplicates(docs).collect()}
+    assert kept == set(found.values())
+    # repeated ids take the other way
+    twice = docs.unionByName(docs)
+    assert sorted(r.doc_id for r in nd.drop_near_duplicates(twice).collect()) == sorted([*kept, 2, 3, 4, 9, 10])
+
+
+def test_words_of_symbols_do_not_depend_on_other_texts():
+    many = ["a b", "! ?", None, "", "? !", "a", "\U0001f600 !", "c d e f g h", "#"]
+    hashes, bounds = nd._words(many)
+    for i, t in enumerate(many):
+        assert (nd._words([t])[0] == hashes[bounds[i] : bounds[i + 1]]).all()
+    assert np.diff(bounds).tolist() == [2, 2, 0, 0, 2, 1, 2, 6, 1]
+
+
 def test_unique_ids_take_the_short_way_to_the_same(spark):
     rows = corpus(7, [4, 6], 1)
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")

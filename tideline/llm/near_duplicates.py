@@ -27,14 +27,16 @@ a pair shares none of the 36 bands of 6 rows with probability 2e-5.
 Whole texts are shuffled only where they are candidates, or to be dropped: a
 filter of at most ``FILTER_BITS`` bits lets the others stay where they are.
 
-Null texts and texts without a word are in no class with others: their class is
-their own id. Documents of fewer than five words have one shingle of all words.
+Null and blank texts are in no class with others: their class is their own id.
+Documents of fewer than five words have one shingle of all words. In a text without
+a letter or digit (emoji, rules), what stands between white space is a word.
 A class has the least id of its members (null only if all are null).
 """
 
 from __future__ import annotations
 
 from functools import cache
+from hashlib import blake2b
 
 import numpy as np
 import pandas as pd
@@ -156,9 +158,24 @@ def occurrences(elements: np.ndarray, weights: np.ndarray, bounds: np.ndarray) -
     return [members[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
 
 
+def _words(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """As ``tokens.words``; a text without a word has its runs between white space as words."""
+    hashes, bounds = tokens.words(texts)
+    count = np.diff(bounds)
+    at, own = [], []
+    for i in np.flatnonzero(count == 0).tolist():
+        for run in (texts[i] or "").lower().split():
+            at.append(bounds[i])
+            own.append(int.from_bytes(blake2b(run.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little"))
+            count[i] += 1
+    if not own:
+        return hashes, bounds
+    return np.insert(hashes, at, np.array(own, np.uint64)), np.concatenate(([0], np.cumsum(count)))
+
+
 def _each_slice(texts: list[str | None]):
     for lo, hi in tokens.slices(texts):
-        yield lo, hi, *tokens.text_shingles(*tokens.words(texts[lo:hi]), SHINGLE)
+        yield lo, hi, *tokens.text_shingles(*_words(texts[lo:hi]), SHINGLE)
 
 
 def _sketch(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -390,7 +407,7 @@ def classes(
 def drop_near_duplicates(
     docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY
 ) -> DataFrame:
-    """One document of each class, with all its columns; texts without a word all stay.
+    """One document of each class, with all its columns; null and blank texts all stay.
 
     The one with the least id stays; of repeated rows with one id and one text, any.
     """
