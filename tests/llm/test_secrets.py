@@ -62,6 +62,9 @@ def test_encodings():
         assert infer_encoding(token) == name, token
 
 
+ALPHANUMERIC = string.ascii_lowercase + string.digits
+
+
 def random_token(rng, alphabet, n):
     return "".join(rng.choice(alphabet) for _ in range(n))
 
@@ -103,6 +106,26 @@ def test_hidden_secrets_are_found_and_little_else(spark):
     assert sum(len(r.secrets) for r in secrets.find(clean, secrets.fit(clean)).collect()) <= 1
 
 
+def test_what_is_left_of_a_run_beside_known_forms_is_tested():
+    rng = random.Random(5)
+    key, hexes = "AKIA" + "Q7" * 8, "0123456789abcdef" * 2
+    one, two = random_token(rng, string.ascii_letters + string.digits, 40), random_token(rng, ALPHANUMERIC, 36)
+    low = [3] * len(NONE)
+    assert max(d for t in (one, two) for *_, d in secrets.candidates(t)) <= 3
+    for text, left in [
+        (f"{key}/{one}", [one]),
+        (f"x {hexes}-{two} y", [two]),
+        (f"{two}/{hexes}/{one}", [two, one]),
+        (f"{one}/token={two}", [one]),
+        (f"{hexes}-short_rest", []),
+        (f"{hexes}/{'plainwords' * 4}", []),
+        (f"{key}/{one[:19]}", [f"/{one[:19]}"]),
+    ]:
+        assert [text[s:e] for s, e, *_ in secrets.candidates(text)] == left, text
+    text = f"x {hexes}-{two} y"
+    assert [(k, text[s:e]) for s, k, e in secrets.spans(text, low)] == [(2, hexes), (3, two)]
+
+
 def test_redaction(spark, edges):
     rows = [(1, 'x token = "abcdef0123" y'), (2, "AKIA" + "A" * 20 + "!"), (3, "0" * 30 + " and " + "f" * 30)]
     rows += [(4, "password: token=abcdefgh"), (5, None), (6, ""), (7, "é " + "a1" * 20)]

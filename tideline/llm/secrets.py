@@ -16,15 +16,17 @@ the share of natural runs among the reported ones at ``RATE`` at most. Both coun
 are sums over a fixed grid (length class by degree of randomness), so only that
 grid reaches the driver.
 
-Offsets are code points, ends exclusive. Null and empty texts have no span. A
-candidate that overlaps a known form, or consists of letters of one case (but for
-the first), is not reported.
+Offsets are code points, ends exclusive. Null and empty texts have no span. A run
+that overlaps known forms is cut at them, and each piece of ``LEAST`` or more
+characters is a candidate, without the separators at the cut. A candidate of
+letters of one case (but for the first) is not reported.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from collections.abc import Iterator
 from functools import cache, lru_cache
 
 import numpy as np
@@ -49,6 +51,7 @@ LEAST, REFERENCE, RATE = 20, 12, 0.01
 _CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % LEAST)
 _WORD = re.compile(r"(?<![A-Za-z0-9])[A-Za-z]{%d,}(?![A-Za-z0-9])" % REFERENCE)
 _PLAIN = re.compile(r"[A-Za-z]?[a-z]*|[A-Z]+")
+SEPARATORS = "+/_=-"
 LENGTH_CLASSES = (16, 20, 24, 32, 48)
 DEGREES = 64
 
@@ -148,18 +151,31 @@ def known_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
+def _pieces(text: str, start: int, end: int, known: list[tuple[int, int, int]]) -> Iterator[tuple[int, int]]:
+    """What is left of a run between the known forms, without separators next to them if enough stays."""
+    at, cut = start, False
+    for s, e, after in [*((s, e, True) for s, _, e in known if s < end and start < e), (end, end, False)]:
+        if s - at >= LEAST:
+            lo, hi = at, s
+            while cut and lo < hi and text[lo] in SEPARATORS:
+                lo += 1
+            while after and lo < hi and text[hi - 1] in SEPARATORS:
+                hi -= 1
+            yield (lo, hi) if hi - lo >= LEAST else (at, s)
+        at, cut = max(at, e), cut or after
+
+
 def candidates(text: str, known: list[tuple[int, int, int]] | None = None) -> list[tuple[int, int, int, int]]:
     """(start, end, length class, degree) of the runs to test."""
     out = []
     for m in _CANDIDATE.finditer(text):
-        start, end = m.span()
-        token = m.group()
-        if _PLAIN.fullmatch(token):
+        if _PLAIN.fullmatch(m.group()):
             continue
         known = known_spans(text) if known is None else known
-        if any(s < end and start < e for s, _, e in known):
-            continue
-        out.append((start, end, _length_class(end - start), _degree(randomness(token))))
+        for start, end in _pieces(text, *m.span(), known):
+            token = text[start:end]
+            if not _PLAIN.fullmatch(token):
+                out.append((start, end, _length_class(end - start), _degree(randomness(token))))
     return out
 
 
