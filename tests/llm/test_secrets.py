@@ -3,6 +3,8 @@ import random
 import re
 import string
 
+import numpy as np
+
 from tideline.llm import queries, secrets
 from tideline.llm.secrets import infer_encoding, randomness
 
@@ -126,6 +128,29 @@ def test_what_is_left_of_a_run_beside_known_forms_is_tested():
     assert [(k, text[s:e]) for s, k, e in secrets.spans(text, low)] == [(2, hexes), (3, two)]
 
 
+def test_tables_with_few_reference_words(spark):
+    rng = random.Random(6)
+    keys = [random_token(rng, string.ascii_letters + string.digits, 40) for _ in range(100)]
+    # one table with one key: as often reported as a key looks random
+    none = np.zeros((len(NONE), secrets.DEGREES), np.int64)
+    hits = 0
+    for key in keys:
+        ((_, _, c, d),) = secrets.candidates(key)
+        found = none.copy()
+        found[c, d] = 1
+        hits += d <= secrets.thresholds(none, found)[c]
+    assert hits >= 85
+    structured = none.copy()
+    structured[4, secrets._degree(secrets.randomness("src/main/resources/application_v2"))] = 1
+    assert secrets.thresholds(none, structured) == NONE
+    key = max(keys, key=randomness)
+    rows = [(1, f"\u0436\u0443\u043a {key} \u0445\u043e\u0434\u0438\u0442"), (2, "\u043b\u0435\u0441"), (3, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = {r.doc_id: [tuple(s) for s in r.secrets] for r in secrets.find(docs, secrets.fit(docs)).collect()}
+    assert found == {1: [("random", 4, 44)], 2: [], 3: []}
+    assert secrets.natural_words().sum() == 40_544
+
+
 def test_redaction(spark, edges):
     rows = [(1, 'x token = "abcdef0123" y'), (2, "AKIA" + "A" * 20 + "!"), (3, "0" * 30 + " and " + "f" * 30)]
     rows += [(4, "password: token=abcdefgh"), (5, None), (6, ""), (7, "é " + "a1" * 20)]

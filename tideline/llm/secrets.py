@@ -11,7 +11,8 @@ How often natural words pass is counted over all texts: words of ASCII letters o
 ``REFERENCE`` or more characters take the same tests. A candidate's p-value is the
 share of reference words, of its length class or a shorter one, that look at
 least as random; shorter words pass more easily, so lengths without reference
-words are judged with caution. Within each length class Benjamini-Hochberg keeps
+words are judged with caution. Where the texts have fewer than ``REFERENCE_LEAST``
+such words, those of a fixed table are added. Within each length class Benjamini-Hochberg keeps
 the share of natural runs among the reported ones at ``RATE`` at most. Both counts
 are sums over a fixed grid (length class by degree of randomness), so only that
 grid reaches the driver.
@@ -54,6 +55,25 @@ _PLAIN = re.compile(r"[A-Za-z]?[a-z]*|[A-Z]+")
 SEPARATORS = "+/_=-"
 LENGTH_CLASSES = (16, 20, 24, 32, 48)
 DEGREES = 64
+#: With fewer reference words than this in all texts, those of a fixed table are added.
+REFERENCE_LEAST = 10_000
+#: 40,544 natural words of sf0.1, by length class and degree.
+_NATURAL = (
+    """
+      0 0 136 30 79 1034 1179 731 124 34 7 8 1 0 3 165 290 5807 7305 7280 4798 5245 2437 1202 541 294 110 46 32 11
+      7 3 3 1 0 2 1
+    """,
+    """
+      0 0 4 17 16 22 19 14 4 10 1 1 2 1 0 1 29 118 149 195 139 140 120 153 40 62 151 38 27 20 14 19 13 8 7 2 1 1 0
+      0 3 1
+    """,
+    """
+      0 0 0 0 0 0 0 0 0 2 0 0 0 0 0 0 0 0 0 0 0 0 0 0 0 0 0 0 3 2 6 1 3 7 3 3 1 0 1 1 0 0 0 0 1
+    """,
+    """
+      0 0 0 0 0 0 0 0 0 0 0 1 0 0 0 0 0 0 0 0 0 0 0 0 0 0 0 0 0 0 0 0 0 0 0 0 0 0 0 0 1
+    """,
+)
 
 _UPPER, _LOWER, _DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
 #: Narrowest first.
@@ -179,8 +199,20 @@ def candidates(text: str, known: list[tuple[int, int, int]] | None = None) -> li
     return out
 
 
+@cache
+def natural_words() -> np.ndarray:
+    """The fixed table of reference words, counts by class and degree."""
+    grid = np.zeros((len(LENGTH_CLASSES) + 1, DEGREES), np.int64)
+    for c, row in enumerate(_NATURAL):
+        counts = row.split()
+        grid[c, : len(counts)] = [int(n) for n in counts]
+    return grid
+
+
 def thresholds(reference: np.ndarray, found: np.ndarray, rate: float = RATE) -> list[int]:
     """Largest degree reported in each length class; -1 for none. Both are counts by class and degree."""
+    if reference.sum() < REFERENCE_LEAST:
+        reference = reference + natural_words()
     out = []
     for c in range(len(LENGTH_CLASSES) + 1):
         natural = reference[: c + 1].sum(0)
