@@ -5,7 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import decontaminate, html_text, language_id, mixing, near_duplicates, quality_classifier, quality_rules, secrets, toxicity, warc
+from tideline.llm import (
+    decontaminate,
+    html_text,
+    language_id,
+    mixing,
+    near_duplicates,
+    quality_classifier,
+    quality_rules,
+    secrets,
+    spelling,
+    toxicity,
+    warc,
+)
 from tideline.llm.samples import held_out
 from tideline.llm.workers import importable
 
@@ -107,6 +119,12 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word of the documents with its near words, its form and its root."""
+    counted = spelling.count_words(_table(spark, sf_dir, "documents"))
+    return spelling.group_variants(counted).select("word", "form", "root", "n", "n_near", "form_n")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -120,6 +138,7 @@ QUERIES = {
         op8_html_text,
         op9_quality_classifier,
         op10_near_duplicates,
+        op11_spelling,
     )
 }
 
@@ -131,7 +150,64 @@ _BASE32 = "||".join(
     for i in range(8)
 )
 
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+# the checksum of a list of bytes, by the table of its polynomial
+_CRC_TABLE = (
+    "crc_table AS (SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)), "
+    "lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t)"
+)
+
+
+def _crc32(listed: str) -> str:
+    step = "xor(c >> 8, t[xor(c & 255, b) + 1])"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {listed}), lambda c, b: {step}), 4294967295)"
+
+
+def _utf8(text: str) -> str:
+    """Bytes of a text below U+10000."""
+    return (
+        f"flatten(list_transform(list_transform(string_split({text}, ''), lambda x: ord(x)::BIGINT), lambda u: "
+        "CASE WHEN u < 128 THEN [u] WHEN u < 2048 THEN [192 + (u >> 6), 128 + (u & 63)] "
+        "ELSE [224 + (u >> 12), 128 + ((u >> 6) & 63), 128 + (u & 63)] END))"
+    )
+
+
 ORACLES: dict[str, str] = {
+    "op11_spelling": rf"""
+        WITH RECURSIVE {_CRC_TABLE}, runs AS (
+            SELECT coalesce(doc_id::VARCHAR, '') AS id,
+                   unnest(regexp_extract_all(translate(text, '{_UPPER}', '{_LOWER}'), '[a-z\x{{C0}}-\x{{FF}}]+')) AS run
+            FROM documents
+        ), grouped AS (SELECT id, run, count(*) AS n FROM runs GROUP BY id, run),
+        checked AS (SELECT run, n, {_crc32(_utf8("id || ':' || run"))} AS h FROM grouped, crc_table),
+        v AS (
+            SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, (h % length(run))::INT)
+                             || substr(run, (h % length(run))::INT + 2) ELSE run END AS word, sum(n)::BIGINT AS n
+            FROM checked GROUP BY 1 HAVING length(word) >= 5 AND sum(n) >= 3
+        ), cut AS (
+            SELECT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS rest
+            FROM (SELECT word, n, unnest(range(length(word))) AS i FROM v)
+        ), near AS (
+            SELECT DISTINCT a.word, b.word AS other, b.n AS m
+            FROM cut a JOIN cut b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+            UNION SELECT a.rest, a.word, a.n FROM cut a SEMI JOIN v ON a.rest = v.word
+            UNION SELECT a.word, v.word, v.n FROM cut a JOIN v ON a.rest = v.word
+        ), best AS (
+            SELECT word, count(*)::BIGINT AS n_near,
+                   first(other ORDER BY m DESC, encode(other)) AS other, max(m) AS m
+            FROM near GROUP BY word
+        ), formed AS (
+            SELECT v.word, v.n, coalesce(n_near, 0) AS n_near,
+                   CASE WHEN m >= 2 * v.n THEN other END AS form, CASE WHEN m >= 2 * v.n THEN m END AS form_n
+            FROM v LEFT JOIN best USING (word)
+        ), chain AS (
+            SELECT word, word AS root FROM formed
+            UNION ALL SELECT c.word, f.form FROM chain c JOIN formed f ON f.word = c.root WHERE f.form IS NOT NULL
+        ), depth AS (
+            SELECT c.word, c.root FROM chain c JOIN formed f ON f.word = c.root WHERE f.form IS NULL
+        )
+        SELECT word, form, root, n, n_near, form_n FROM formed JOIN depth USING (word)""",
     "op4_mixing": r"""
         WITH d AS (
             SELECT doc_id, source,
