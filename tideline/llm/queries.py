@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideline.llm import (
+    chat,
     decontaminate,
     html_text,
+    importance,
     language_id,
     mixing,
     near_duplicates,
@@ -125,6 +127,22 @@ def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.group_variants(counted).select("word", "form", "root", "n", "n_near", "form_n")
 
 
+def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's weight towards the benchmark, and its rank if it is drawn."""
+    drawn = importance.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op13_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is read back of every conversation, and of one whose texts look like a template."""
+    said = "</s>[INST] ok [/INST]"
+    added = spark.createDataFrame(
+        [(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string"
+    )
+    rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(added)
+    return chat.read_back(chat.render_log(chat.log_of(rows)))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -139,6 +157,8 @@ QUERIES = {
         op9_quality_classifier,
         op10_near_duplicates,
         op11_spelling,
+        op12_importance,
+        op13_chat,
     )
 }
 
@@ -165,11 +185,12 @@ def _crc32(listed: str) -> str:
 
 
 def _utf8(text: str) -> str:
-    """Bytes of a text below U+10000."""
+    """Bytes of a text."""
     return (
         f"flatten(list_transform(list_transform(string_split({text}, ''), lambda x: ord(x)::BIGINT), lambda u: "
         "CASE WHEN u < 128 THEN [u] WHEN u < 2048 THEN [192 + (u >> 6), 128 + (u & 63)] "
-        "ELSE [224 + (u >> 12), 128 + ((u >> 6) & 63), 128 + (u & 63)] END))"
+        "WHEN u < 65536 THEN [224 + (u >> 12), 128 + ((u >> 6) & 63), 128 + (u & 63)] "
+        "ELSE [240 + (u >> 18), 128 + ((u >> 12) & 63), 128 + ((u >> 6) & 63), 128 + (u & 63)] END))"
     )
 
 
@@ -253,6 +274,57 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, size, source_size, target,
                (epochs * size + greatest(0, least(size, budget - before)))::BIGINT AS taken
         FROM r""",
+    "op12_importance": rf"""
+        WITH {_CRC_TABLE}, runs AS (
+            SELECT d, w FROM (
+                SELECT row_number() OVER () AS d, text FROM documents
+            ), unnest(regexp_extract_all(translate(text, '{_UPPER}', '{_LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS x(w)
+        ), wanted AS (
+            SELECT unnest(regexp_extract_all(translate(text, '{_UPPER}', '{_LOWER}'),
+                                             '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w FROM benchmark
+        ), hashed AS (
+            SELECT w, {_crc32(_utf8("w"))} % 10000 AS bucket
+            FROM (SELECT w FROM runs UNION SELECT w FROM wanted), crc_table
+        ), own AS (SELECT bucket, count(*) AS n FROM runs JOIN hashed USING (w) GROUP BY bucket),
+        other AS (SELECT bucket, count(*) AS n FROM wanted JOIN hashed USING (w) GROUP BY bucket),
+        gain AS (
+            SELECT bucket, floor(1000::DOUBLE * ln(
+                       ((coalesce(t.n, 0) + 1) * ((SELECT count(*) FROM runs) + 10000))::DOUBLE
+                       / ((coalesce(s.n, 0) + 1) * ((SELECT count(*) FROM wanted) + 10000))::DOUBLE))::BIGINT AS gain
+            FROM own s FULL JOIN other t USING (bucket)
+        ), found AS (
+            SELECT d, count(*)::BIGINT AS n_features, floor(sum(gain)::DOUBLE / count(*))::BIGINT AS weight
+            FROM runs JOIN hashed USING (w) JOIN gain USING (bucket) GROUP BY d
+        ), scored AS (
+            SELECT doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+                   coalesce(weight, 0) + floor(-1000::DOUBLE * ln(-ln((
+                       ('0x' || substr(sha256('2024:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT::DOUBLE
+                       + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score
+            FROM (SELECT row_number() OVER () AS d, doc_id FROM documents) LEFT JOIN found USING (d)
+        ), ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id NULLS LAST,
+                                         n_features, weight) AS place,
+                   count(*) OVER (PARTITION BY n_features >= 20) AS n
+            FROM scored
+        )
+        SELECT doc_id, n_features, weight, score,
+               CASE WHEN n_features >= 20 AND place <= 10 * n // 100 THEN place END AS rank
+        FROM ranked""",
+    "op13_chat": rf"""
+        WITH rows AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT -7, turn, role, '</s>[INST] ok [/INST]'
+            FROM (VALUES (0, 'user'), (1, 'assistant')) AS x(turn, role)
+        )
+        SELECT conv_id, count(*)::BIGINT AS n_turns,
+               sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+               coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+               sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, text) FILTER (role = 'assistant'), ''))
+                   AS loss_sha256,
+               sum({sum(map(len, (chat.START, chat.END))) + 2} + length(role) + length(text)
+                   + len(regexp_extract_all(role, '{chat._MARKED_ROLE.pattern}'))
+                   + len(regexp_extract_all(text, '{chat._MARKED.pattern}')))::BIGINT AS formatted_chars
+        FROM rows GROUP BY conv_id""",
     "op5_warc": f"""
         WITH p AS (
             SELECT page_id, octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes,
