@@ -219,16 +219,25 @@ def drop_contaminated(
     shingle: int = SHINGLE,
     radius: int = RADIUS,
 ) -> DataFrame:
-    """The documents without a match, with all their columns, in one pass and no shuffle."""
+    """The documents without a match, with all their columns, without a shuffle."""
     for block in _blocks(items, item_id, text):
+        docs = docs.where(_clean(block, shingle, similarity, radius)(F.col(text)))
+    return docs
 
-        def keep(batches, block=block):
-            held = _Items(block, shingle, radius)
-            for batch in tokens.small(batches):
-                clean = np.ones(batch.num_rows, bool)
-                for n, *_ in _scan(batch[text].to_pylist(), held, shingle, similarity):
-                    clean[n] = False
-                yield batch.filter(pa.array(clean))
 
-        docs = docs.mapInArrow(keep, docs.schema)
-    return docs
+def _clean(block: list[tuple[int, str]], shingle: int, similarity: float, radius: int):
+    """Whether a text matches no item of the block."""
+
+    @F.arrow_udf("boolean")
+    def clean(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        held = _Items(block, shingle, radius)
+
+        def verdicts(some: list[str | None]) -> pa.Array:
+            out = np.ones(len(some), bool)
+            for n, *_ in _scan(some, held, shingle, similarity):
+                out[n] = False
+            return pa.array(out)
+
+        return tokens.each(texts, verdicts)
+
+    return clean

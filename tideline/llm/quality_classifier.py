@@ -16,6 +16,7 @@ none to learn from, every text scores that label's share (0.5 for none).
 from __future__ import annotations
 
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -157,11 +158,10 @@ def score(docs: DataFrame, model: CompressionModel, *, text: str = "text", name:
 def keep_good(
     docs: DataFrame, model: CompressionModel, *, text: str = "text", threshold: float = THRESHOLD
 ) -> DataFrame:
-    """The documents that score at least ``threshold``, with their columns."""
+    """The documents that score at least ``threshold``, with their columns; only the verdict comes from Python."""
 
-    def run(batches):
-        for batch in tokens.small(batches):
-            good = model.scores(batch[text].to_pylist()) >= threshold
-            yield batch.filter(pa.array(good))
+    @F.arrow_udf("boolean")
+    def good(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        return tokens.each(texts, lambda some: pa.array(model.scores(some) >= threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.where(good(F.col(text)))

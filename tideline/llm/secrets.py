@@ -283,12 +283,12 @@ def redact(
     Only the value of an assignment is replaced, not its name. Without a column
     ``n_chars`` none is set.
     """
-    sized = n_chars in docs.columns
 
     def clean(t: str | None) -> str | None:
+        """The new text, or None if the old one stays."""
         found = spans(t, limits)
         if not found:
-            return t
+            return None
         cuts: list[list[int]] = []
         for start, kind, end in found:
             if kind == 0:
@@ -307,18 +307,14 @@ def redact(
             at = end
         return "".join([*out, t[at:]])
 
-    def run(batches):
-        for batch in tokens.small(batches):
-            own = batch.schema.get_field_index(text)
-            old = batch[text].to_pylist()
-            new = [clean(t) for t in old]
-            batch = batch.set_column(own, batch.schema.field(own), pa.array(new, batch.schema.field(own).type))
-            if sized:
-                at = batch.schema.get_field_index(n_chars)
-                sizes = [
-                    n if t is u else len(u) for n, t, u in zip(batch[n_chars].to_pylist(), old, new, strict=True)
-                ]
-                batch = batch.set_column(at, batch.schema.field(at), pa.array(sizes, batch.schema.field(at).type))
-            yield batch
-
-    return docs.mapInArrow(run, docs.schema)
+    @F.arrow_udf("string")
+    def cleaned(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        return tokens.each(texts, lambda some: pa.array([clean(t) for t in some], pa.string()))
+
+    new = tokens.unused("new", docs.columns)
+    changed = docs.withColumn(new, cleaned(F.col(text)))
+    columns = {text: F.coalesce(new, text)}
+    if n_chars in docs.columns:
+        size = F.length(new).cast(docs.schema[n_chars].dataType)
+        columns[n_chars] = F.when(F.col(new).isNotNull(), size).otherwise(F.col(n_chars))
+    return changed.withColumns(columns).drop(new)

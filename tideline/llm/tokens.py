@@ -7,7 +7,7 @@ follows the slice, or one text if that is longer, and not the Arrow batch.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import cache
 
 import numpy as np
@@ -68,6 +68,21 @@ def small(batches: Iterable[pa.RecordBatch], rows: int = BATCH_ROWS) -> Iterator
             yield batch.slice(at, rows)
 
 
+def each(udf_input: Iterable[pa.Array], result: Callable[[list], pa.Array], rows: int = BATCH_ROWS) -> Iterator[pa.Array]:
+    """``result`` of the texts of Arrow arrays, a few rows at a time, one array for each array."""
+    for array in udf_input:
+        parts = [result(array.slice(at, rows).to_pylist()) for at in range(0, len(array), rows)]
+        yield pa.concat_arrays(parts) if parts else result([])
+
+
+def unused(name: str, columns: Iterable[str]) -> str:
+    """A column name like ``name`` that no column has, in any letter case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def slices(texts: list[str | None], size: int = SLICE) -> Iterator[tuple[int, int]]:
     """Ranges of ``texts`` that hold about ``size`` characters each."""
     lo, held = 0, 0
