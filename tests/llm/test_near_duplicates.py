@@ -181,9 +181,30 @@ def test_filter_of_ids_passes_all_it_holds(spark, monkeypatch):
     ids = spark.range(0, 4000, 2).toDF("doc_id")
     for bits in (1 << 25, 1 << 8):  # the second is far too small for so many
         monkeypatch.setattr(nd, "FILTER_BITS", bits)
-        passed = {r.id for r in spark.range(4000).where(nd._Ids(ids).may_hold(nd.F.col("id"))).collect()}
+        marked = nd._Ids(ids).mark(spark.range(4000).toDF("at"), "at", "held")
+        assert marked.columns == ["at", "held"] and marked.count() == 4000
+        passed = {r["at"] for r in marked.where("held").collect()}
         assert passed >= set(range(0, 4000, 2))
         assert len(passed) < 2150 or bits == 1 << 8
     rows = corpus(8, [3, 9], 1)
     kept = nd.drop_near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"))
     assert {r.doc_id for r in kept.collect()} == {c for _, c in brute(rows)}
+
+
+def test_columns_may_have_the_names_used_inside(spark):
+    names = ["held", "go", "stay", "V", "vertex", "at", "bits"]
+    rows = [(i, t, *range(7)) for i, t in enumerate(["a b c d e f", "A b c d e f.", "other words here"])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"{n} int" for n in names))
+    for frame, left in ((docs, [0, 2]), (docs.unionByName(docs), [0, 2])):
+        kept = nd.drop_near_duplicates(frame)
+        assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == left
+
+
+def test_pairs_of_one_vertex_are_dealt_out(spark, monkeypatch):
+    members = spark.createDataFrame([(bytes([i]), list(range(i % 3, 10))) for i in range(100)], "v binary, members array<bigint>")
+    pairs = spark.createDataFrame([(bytes([0]), bytes([i])) for i in range(1, 100)], "a binary, b binary")
+    expected = {bytes([i]) for i in range(1, 100) if i % 3 < 3 and (10 - i % 3) >= 8}
+    for salts in (1, 7):
+        monkeypatch.setattr(nd, "SALTS", salts)
+        found = nd._verified(pairs, members, 0.8).collect()
+        assert len(found) == len(expected) and {bytes(r.b) for r in found} == expected

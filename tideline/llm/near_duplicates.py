@@ -35,11 +35,11 @@ A class has the least id of its members (null only if all are null).
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import cache
 from hashlib import blake2b
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -51,7 +51,9 @@ from tideline.session import materialise
 
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 36, 6
-FILTER_BITS = 1 << 25
+FILTER_BITS, BITS_PER_ID = 1 << 25, 10
+#: Shares into which the pairs of one vertex are dealt for verification.
+SALTS = 64
 #: Ratio of sizes within a class of sizes.
 STEP = 1.04
 #: Rank of the first region's end; each later region doubles it.
@@ -211,34 +213,35 @@ def _sketch(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 class _Ids:
     """A Bloom filter of ids: most rows without a wanted id need not be shuffled to find that out.
 
-    It has ten bits an id, but ``FILTER_BITS`` at most whatever their number; more
-    ids than fit let more rows pass, and those are told apart by the join after it.
+    It is a table of 64-bit words, at most ``FILTER_BITS`` bits in all whatever the
+    number of ids, so it can be broadcast; each id has one word and three bits in it.
+    More ids than fit let more rows pass, and the join after it tells those apart.
     """
 
     def __init__(self, ids: DataFrame):
-        n = ids.count()
-        self.bits = 1 << min(FILTER_BITS.bit_length() - 1, max(6, (10 * n).bit_length()))
-        at = ids.select(F.explode(F.array(*self._places(F.col(ids.columns[0])))).alias("at"))
-        word = F.shiftright("at", 6)
-        bit = F.expr("shiftleft(1L, cast(at & 63 as int))")
-        words = at.groupBy(word.alias("word")).agg(F.bit_or(bit).alias("bits")).toArrow()
-        self.words = np.zeros(self.bits >> 6, np.uint64)
-        self.words[words["word"].to_numpy()] = words["bits"].to_numpy().view(np.uint64)
-
-    def _places(self, doc_id):
-        return [F.pmod(F.xxhash64(F.lit(i), doc_id), F.lit(self.bits)) for i in range(3)]
-
-    def may_hold(self, doc_id):
-        words = self.words
-
-        @F.pandas_udf("boolean")
-        def held(a: pd.Series, b: pd.Series, c: pd.Series) -> pd.Series:
-            found = np.ones(len(a), bool)
-            for at in (a.to_numpy(), b.to_numpy(), c.to_numpy()):
-                found &= (words[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) == 1
-            return pd.Series(found)
-
-        return held(*self._places(doc_id))
+        wanted = (ids.count() * BITS_PER_ID // 64).bit_length()
+        self.size = 1 << min((FILTER_BITS >> 6).bit_length() - 1, wanted)
+        own = F.col(ids.columns[0])
+        words = ids.select(self._word(own).alias("at"), self._mask(own).alias("mask"))
+        self.words = words.groupBy("at").agg(F.bit_or("mask").alias("bits"))
+
+    def _word(self, doc_id):
+        return F.pmod(F.xxhash64(F.lit(3), doc_id), F.lit(self.size))
+
+    def _mask(self, doc_id):
+        one = F.lit(1).cast("long")
+        bits = [F.pmod(F.xxhash64(F.lit(i), doc_id), F.lit(64)).cast("int") for i in range(3)]
+        first, second, third = (F.call_function("shiftleft", one, b) for b in bits)
+        return first.bitwiseOR(second).bitwiseOR(third)
+
+    def mark(self, rows: DataFrame, doc_id: str, name: str) -> DataFrame:
+        """``rows`` with a column ``name``: whether the id may be held."""
+        at, bits = (tokens.unused(c, (*rows.columns, name)) for c in ("at", "bits"))
+        table = F.broadcast(self.words.select(F.col("at").alias(at), F.col("bits").alias(bits)))
+        mask = self._mask(F.col(doc_id))
+        found = rows.join(table, self._word(F.col(doc_id)) == F.col(at), "left")
+        held = F.coalesce(F.col(bits).bitwiseAND(mask) == mask, F.lit(False))
+        return found.withColumn(name, held).drop(at, bits)
 
 
 def _members(docs: DataFrame, doc_id: str, text: str, wanted: DataFrame) -> DataFrame:
@@ -262,21 +265,27 @@ def _members(docs: DataFrame, doc_id: str, text: str, wanted: DataFrame) -> Data
                 )
 
     source = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
-    source = source.where(_Ids(wanted.select("doc_id")).may_hold(F.col("id")))
+    source = _Ids(wanted.select("doc_id")).mark(source, "id", "held").where("held")
     joined = source.join(wanted, F.col("id").eqNullSafe(F.col("doc_id"))).select("v", "text")
     # repeated rows give the same members
     return joined.mapInArrow(expand, schema).dropDuplicates(["v"])
 
 
 def _verified(pairs: DataFrame, members: DataFrame, similarity: float) -> DataFrame:
-    """The pairs (a, b) of at least this similarity."""
-    a = members.select(F.col("v").alias("a"), F.col("members").alias("ma"))
-    b = members.select(F.col("v").alias("b"), F.col("members").alias("mb"))
+    """The pairs (a, b) of at least this similarity.
+
+    A vertex can be ``a`` of very many pairs. They are dealt into ``SALTS`` shares by
+    their other vertex, and the members of ``a`` go once to each share that it has.
+    """
+    ma = members.select(F.col("v").alias("a"), F.col("members").alias("ma"))
+    mb = members.select(F.col("v").alias("b"), F.col("members").alias("mb"))
+    dealt = pairs.withColumn("salt", F.pmod(F.xxhash64("b"), F.lit(SALTS)))
+    shares = dealt.select("a", "salt").distinct().join(ma, "a")
     small, large = F.least(F.size("ma"), F.size("mb")), F.greatest(F.size("ma"), F.size("mb"))
     both = F.size(F.array_intersect("ma", "mb"))
     return (
-        pairs.join(a, "a")
-        .join(b, "b")
+        dealt.join(mb, "b")
+        .join(shares, ["a", "salt"])
         .where(small >= similarity * large)
         .where(both >= similarity * (F.size("ma") + F.size("mb") - both))
         .select("a", "b")
@@ -412,30 +421,31 @@ def drop_near_duplicates(
     The one with the least id stays; of repeated rows with one id and one text, any.
     """
     every = materialise(classes(docs, doc_id=doc_id, text=text, similarity=similarity))
+    held, go, stay, v, vertex = (tokens.unused(c, docs.columns) for c in ("held", "go", "stay", "v", "vertex"))
     if every.groupBy("doc_id").count().where("doc_id is null or count > 1").isEmpty():
-        go = every.where("v is not null and doc_id <> class_id").select(F.col("doc_id").alias("__go"))
-        perhaps = _Ids(go).may_hold(F.col(doc_id))
-        rest = docs.where(perhaps).join(go, F.col(doc_id) == F.col("__go"), "left_anti")
-        return docs.where(~perhaps).unionByName(rest)
+        gone = every.where("v is not null and doc_id <> class_id").select(F.col("doc_id").alias(go))
+        marked = _Ids(gone).mark(docs, doc_id, held)
+        rest = marked.where(held).join(gone, F.col(doc_id) == F.col(go), "left_anti")
+        return marked.where(~F.col(held)).unionByName(rest).drop(held)
     # ids do not tell rows apart, so rows are matched by id and text, and one of equals is taken
     first = every.where("v is not null").groupBy("class_id").agg(F.min(F.struct("doc_id", "v")).alias("s"))
-    stay = first.select(F.col("s.doc_id").alias("__stay"), F.col("s.v").alias("__v"))
-    keyed = _with_vertex(docs, text)
+    kept = first.select(F.col("s.doc_id").alias(stay), F.col("s.v").alias(v))
+    keyed = docs.withColumn(vertex, _vertex(F.col(text)))
     one = (
-        keyed.join(stay, F.col(doc_id).eqNullSafe(F.col("__stay")) & (F.col("__vertex") == F.col("__v")), "left_semi")
-        .dropDuplicates([doc_id, "__vertex"])
+        keyed.join(kept, F.col(doc_id).eqNullSafe(F.col(stay)) & (F.col(vertex) == F.col(v)), "left_semi")
+        .dropDuplicates([doc_id, vertex])
     )
-    return one.unionByName(keyed.where("__vertex is null")).drop("__vertex")
+    return one.unionByName(keyed.where(F.col(vertex).isNull())).drop(vertex)
 
 
-def _with_vertex(docs: DataFrame, text: str) -> DataFrame:
-    schema = T.StructType([*docs.schema.fields, T.StructField("__vertex", T.BinaryType())])
+@F.arrow_udf(T.BinaryType())
+def _vertex(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """The key of each text's vertex."""
 
-    def add(batches):
-        for batch in tokens.small(batches):
-            keys = []
-            for *_, shingled, bounds in _each_slice(batch[text].to_pylist()):
-                keys += vertex_keys(shingled, bounds)
-            yield batch.append_column("__vertex", pa.array(keys, pa.binary()))
+    def keys(some: list[str | None]) -> pa.Array:
+        found: list[bytes | None] = []
+        for *_, shingled, bounds in _each_slice(some):
+            found += vertex_keys(shingled, bounds)
+        return pa.array(found, pa.binary())
 
-    return docs.mapInArrow(add, schema)
+    return tokens.each(texts, keys)
