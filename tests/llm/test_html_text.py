@@ -63,6 +63,32 @@ def test_unknown_languages_are_judged_without_stop_words():
     assert extract(f"<nav>{text}</nav><p>{text}</p>") == text
 
 
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<div>" * 100_000 + "<b>y</b></i>" * 100_000,
+        "<nav><article>x" * 50_000,
+        "<b class=ad>y" * 100_000 + "<p>" * 100_000,
+        "<span hidden>x" * 100_000 + "</span>" * 100_000,
+    ],
+)
+def test_open_elements_cost_nothing_per_tag(page):
+    import time
+
+    began = time.perf_counter()
+    html_text.blocks(page)
+    assert time.perf_counter() - began < 2
+
+
+def test_densities_decide_where_no_name_tells():
+    """No article element, no class or id, only lengths, links and stop words."""
+    links = "".join(f"<li><a href=/{w}>{w} {w}</a></li>" for w in "home world sport money weather travel".split())
+    more = "".join(f"<div><a href=/{i}>Another headline of some length that is a link number {i}</a></div>" for i in range(6))
+    body = "".join(f"<div><p>{LONG}</p></div>" for _ in range(4))
+    page = f"<html><body><div><ul>{links}</ul></div><div>{body}</div><div>{more}</div><div>&copy; 2024 all of it</div></body></html>"
+    assert extract(page) == "\n\n".join([LONG] * 4)
+
+
 @pytest.mark.parametrize("page", ["<a \"" * 30_000, "<div>" * 30_000 + "x", "<!--" * 30_000, "<p><b>" * 20_000, "&" * 99_999])
 def test_time_follows_length(page):
     import time

@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -117,31 +118,37 @@ def blocks(page: str) -> list[Block]:
     out: list[Block] = []
     parts: list[str] = []
     linked = 0
-    # open elements: tag, whether bad, whether article or main, whether block-level
-    stack: list[tuple[str, bool, bool, bool]] = []
-    bad = inner = anchors = opened = 0
+    # open elements: tag, whether article or main, whether block-level, and the era in which it was bad
+    stack: list[tuple[str, bool, bool, int | None]] = []
+    # of the open elements: each tag, bad ones of this era by tag, bad block-level and other ones
+    tags: Counter = Counter()
+    bad: Counter = Counter()
+    bad_levels = bad_inline = inner = anchors = opened = era = 0
     sections = [0]
 
     def flush():
         nonlocal linked
         text = " ".join(html.unescape("".join(parts)).split())
         if text:
-            blocked = any(b and level for _, b, _, level in stack) if bad else False
-            out.append(Block(text, min(1.0, linked / len(text)), blocked, inner > 0, sections[-1]))
+            out.append(Block(text, min(1.0, linked / len(text)), bad_levels > 0, inner > 0, sections[-1]))
         parts.clear()
         linked = 0
 
     def pop():
-        nonlocal bad, inner
-        tag, was_bad, was_inner, level = stack.pop()
-        bad -= was_bad
+        nonlocal bad_levels, bad_inline, inner
+        tag, was_inner, level, bad_era = stack.pop()
+        tags[tag] -= 1
+        if bad_era == era:
+            bad[tag] -= 1
+            bad_levels -= level
+            bad_inline -= not level
         inner -= was_inner
         if level and tag not in LEAF_TAGS:
             sections.pop()
 
     def write(text: str):
         nonlocal linked
-        if bad and any(b and not level for _, b, _, level in stack):
+        if bad_inline:
             return
         parts.append(text)
         if anchors:
@@ -168,16 +175,15 @@ def blocks(page: str) -> list[Block]:
         if tag == "a":
             anchors = 0 if closing else 1
         if closing:
-            if any(t == tag for t, *_ in stack):
-                while stack:
-                    last = stack[-1][0]
-                    pop()
-                    if last == tag:
-                        break
+            while tags[tag]:
+                last = stack[-1][0]
+                pop()
+                if last == tag:
+                    break
             continue
         if level:
             # a paragraph, and bad text within it, ends where the next block begins
-            while stack and (stack[-1][0] == "p" or not stack[-1][3]):
+            while stack and (stack[-1][0] == "p" or not stack[-1][2]):
                 pop()
             anchors = 0
         if tag in RAW_TAGS:
@@ -189,12 +195,18 @@ def blocks(page: str) -> list[Block]:
         wrong = _is_bad(tag, attributes, inner > 0)
         if level or wrong:
             main = tag in ("article", "main")
-            if bad and (tag == "main" or (tag in UNCLOSED and all(t in UNCLOSED[tag] for t, b, *_ in stack if b))):
-                # what holds the main part was named for its layout, or was never closed
-                stack = [(t, False, i, v) for t, _, i, v in stack]
-                bad = 0
-            stack.append((tag, wrong, main, level))
-            bad += wrong
+            held = bad_levels + bad_inline
+            if held and (tag == "main" or (tag in UNCLOSED and sum(bad[t] for t in UNCLOSED[tag]) == held)):
+                # what holds the main part was named for its layout, or was never closed: a new era
+                bad.clear()
+                bad_levels = bad_inline = 0
+                era += 1
+            stack.append((tag, main, level, era if wrong else None))
+            tags[tag] += 1
+            if wrong:
+                bad[tag] += 1
+                bad_levels += level
+                bad_inline += not level
             inner += main
             if level and tag not in LEAF_TAGS:
                 opened += 1
