@@ -1,15 +1,18 @@
 import hashlib
+import math
 import random
 import re
 import string
+import time
 
 import numpy as np
 
 from tideline.llm import queries, secrets
 from tideline.llm.secrets import infer_encoding, randomness
 
-NONE = [-1] * (len(secrets.LENGTH_CLASSES) + 1)
-ALL = [secrets.DEGREES] * len(NONE)
+CLASSES = len(secrets.LENGTH_CLASSES)
+NONE = [[-1] * CLASSES] * 2
+ALL = [[secrets.DEGREES] * CLASSES] * 2
 
 
 def brute_base(text):
@@ -53,7 +56,9 @@ def test_encodings():
         ("0123456789", "decimal"),
         ("0badcafe", "hex"),
         ("0BADCAFE", "HEX"),
-        ("MFRGGZDF", "base32"),
+        ("zebras", "letters"),
+        ("ZEBRAS", "LETTERS"),
+        ("MFRGGZD2", "base32"),
         ("zebra1", "base36"),
         ("Zebra1", "base62"),
         ("Zeb+ra1/==", "base64"),
@@ -73,7 +78,7 @@ def random_token(rng, alphabet, n):
 
 def test_random_tokens_pass_and_structured_ones_do_not():
     rng = random.Random(2)
-    for alphabet in (string.hexdigits[:16], string.ascii_letters + string.digits, secrets.ENCODINGS["base64"]):
+    for alphabet in (string.hexdigits[:16], string.ascii_letters + string.digits, secrets.ENCODINGS["base64"], string.ascii_lowercase):
         for n in (24, 40, 64):
             passed = sum(randomness(random_token(rng, alphabet, n)) > 0.01 for _ in range(300))
             assert passed > 280
@@ -112,7 +117,7 @@ def test_what_is_left_of_a_run_beside_known_forms_is_tested():
     rng = random.Random(5)
     key, hexes = "AKIA" + "Q7" * 8, "0123456789abcdef" * 2
     one, two = random_token(rng, string.ascii_letters + string.digits, 40), random_token(rng, ALPHANUMERIC, 36)
-    low = [3] * len(NONE)
+    low = [[3] * CLASSES] * 2
     assert max(d for t in (one, two) for *_, d in secrets.candidates(t)) <= 3
     for text, left in [
         (f"{key}/{one}", [one]),
@@ -120,7 +125,7 @@ def test_what_is_left_of_a_run_beside_known_forms_is_tested():
         (f"{two}/{hexes}/{one}", [two, one]),
         (f"{one}/token={two}", [one]),
         (f"{hexes}-short_rest", []),
-        (f"{hexes}/{'plainwords' * 4}", []),
+        (f"{hexes}/{'plainwords' * 4}", ["plainwords" * 4]),
         (f"{key}/{one[:19]}", [f"/{one[:19]}"]),
     ]:
         assert [text[s:e] for s, e, *_ in secrets.candidates(text)] == left, text
@@ -128,27 +133,87 @@ def test_what_is_left_of_a_run_beside_known_forms_is_tested():
     assert [(k, text[s:e]) for s, k, e in secrets.spans(text, low)] == [(2, hexes), (3, two)]
 
 
-def test_tables_with_few_reference_words(spark):
+def test_tables_without_language_of_their_own(spark):
     rng = random.Random(6)
     keys = [random_token(rng, string.ascii_letters + string.digits, 40) for _ in range(100)]
     # one table with one key: as often reported as a key looks random
-    none = np.zeros((len(NONE), secrets.DEGREES), np.int64)
+    none = np.zeros((2, CLASSES, secrets.DEGREES), np.int64)
     hits = 0
     for key in keys:
-        ((_, _, c, d),) = secrets.candidates(key)
+        ((_, _, kind, c, d),) = secrets.candidates(key)
         found = none.copy()
-        found[c, d] = 1
-        hits += d <= secrets.thresholds(none, found)[c]
+        found[kind, c, d] = 1
+        hits += d <= secrets.thresholds(none, found)[kind][c]
     assert hits >= 85
     structured = none.copy()
-    structured[4, secrets._degree(secrets.randomness("src/main/resources/application_v2"))] = 1
+    ((_, _, kind, c, d),) = secrets.candidates("src/main/resources/application_v2")
+    structured[kind, c, d] = 1
     assert secrets.thresholds(none, structured) == NONE
     key = max(keys, key=randomness)
     rows = [(1, f"\u0436\u0443\u043a {key} \u0445\u043e\u0434\u0438\u0442"), (2, "\u043b\u0435\u0441"), (3, None)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
     found = {r.doc_id: [tuple(s) for s in r.secrets] for r in secrets.find(docs, secrets.fit(docs)).collect()}
     assert found == {1: [("random", 4, 44)], 2: [], 3: []}
-    assert secrets.natural_words().sum() == 40_544
+
+
+def test_one_rule_for_tables_of_all_sizes():
+    """No verdict turns on how many words a table has: more of the same language changes nothing."""
+    rng = random.Random(9)
+    words = [w for w in (corpus(7, 0)[0][1]).split() if w.isalpha()]
+    key = max((random_token(rng, string.ascii_letters + string.digits, 32) for _ in range(20)), key=randomness)
+    ((_, _, kind, c, d),) = secrets.candidates(key)
+    found = np.zeros((2, CLASSES, secrets.DEGREES), np.int64)
+    found[kind, c, d] = 1
+    reported = set()
+    for n in (0, 100, 9_999, 10_000, 10_001, 50_000):
+        text = " ".join(rng.choice(words) for _ in range(n))
+        reported.add(d <= secrets.thresholds(secrets.natural_degrees([text]), found)[kind][c])
+    assert reported == {True}
+
+
+def test_keys_of_one_case_are_found_and_long_words_are_not(spark):
+    rng = random.Random(11)
+    long_words = ["donaudampfschifffahrtsgesellschaft", "antidisestablishmentarianism", "Rechtsschutzversicherungsgesellschaften",
+                  "CONSTITUTIONNELLEMENTINDEFENDABLE", "otorhinolaryngologistically", "counterrevolutionaries"]
+    rows = corpus(12, 0)
+    for i in range(60):
+        alphabet = (string.ascii_lowercase, string.ascii_uppercase)[i % 2]
+        rows[i] = (i, f"{rows[i][1]} {random_token(rng, alphabet, rng.choice([32, 40, 48, 64]))} end")
+    for i in range(100, 130):
+        rows[i] = (i, f"{rows[i][1]} {long_words[i % len(long_words)]} end")
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    hits = [r.doc_id for r in secrets.find(docs, secrets.fit(docs)).collect() for s in r.secrets]
+    assert len({h for h in hits if h < 60}) >= 50 and len([h for h in hits if h >= 60]) <= 2
+
+
+def test_tests_of_many_rows_equal_those_of_one():
+    rng = random.Random(4)
+    text = " ".join("".join(rng.choice(string.ascii_letters) for _ in range(rng.randrange(1, 9))) for _ in range(300))
+    words = text.split()
+    streams = [("".join(words).lower(), "letters"), ("".join(w + "/_-"[i % 3] for i, w in enumerate(words)), "any")]
+    grid = np.zeros((2, CLASSES, secrets.DEGREES), np.int64)
+    for kind, (stream, name) in enumerate(streams):
+        for c, n in enumerate(secrets.LENGTH_CLASSES):
+            for at in range(0, len(stream) - n + 1, n):
+                ranks = np.array([[secrets.ENCODINGS[name].index(ch) for ch in stream[at : at + n]]])
+                p = secrets.randomness_of(ranks, len(secrets.ENCODINGS[name]))
+                grid[kind, c, secrets._degrees(p)[0]] += 1
+    assert (secrets.natural_degrees([None, text, ""]) == grid).all()
+    assert (secrets.natural_degrees([text, "short", text]) == 2 * grid).all()
+    # candidates say nothing about language
+    assert (secrets.natural_degrees([f"{text} {'Ab1' * 9} {'x' * 20}"]) == grid).all()
+    # the tail of the normal distribution keeps its relative accuracy
+    for z in (-3.0, 0.0, 0.7, 2.5, 9.0, 20.0):
+        assert abs(float(secrets._erfc(np.array([z]))[0]) / math.erfc(z) - 1) < 1e-6
+
+
+def test_very_long_tokens_take_time_and_memory_by_length():
+    token = random_token(random.Random(3), secrets.ENCODINGS["base64"], 400_000)
+    began = time.perf_counter()
+    for i in range(5):
+        ((start, end, *_),) = secrets.candidates(f"{i} {token} x")
+        assert (start, end) == (2, 400_002)
+    assert time.perf_counter() - began < 10
 
 
 def test_redaction(spark, edges):
