@@ -2,7 +2,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from tideline.llm import language_id, queries
-from tideline.llm.samples import held_out
+from tideline.llm.samples import held_out, labelled_rows
 
 
 def test_held_out_languages_are_named(spark):
@@ -66,3 +66,31 @@ def test_learns_from_the_rest_only(spark):
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
     docs = docs.withColumn("lang", F.when(held_out("doc_id"), "hidden").otherwise("seen"))
     assert language_id.fit(docs).languages == ["seen"]
+
+
+def test_every_language_is_learned(spark):
+    rows = [(i, f"{chr(0x4E00 + i)} {chr(0x4E00 + i)}{chr(0x4E01 + i)}", f"l{i:04d}") for i in range(1200)]
+    rows += [(5000 + i, "common words of a large language", "zz") for i in range(300)]
+    model = language_id.fit(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"), rows=1500)
+    held = {r.doc_id for r in spark.createDataFrame(rows, "doc_id bigint, text string, lang string").where(held_out("doc_id")).collect()}
+    assert model.languages == sorted({lang for i, _, lang in rows if i not in held})
+    some = [r for r in rows[:1200] if r[0] not in held][:200]
+    found = model.predict([t for _, t, _ in some])
+    assert sum(f[0] == r[2] for f, r in zip(found, some)) > 150
+
+
+def test_texts_without_letters_and_copies_take_no_place(spark):
+    rows = [(i, "seen words here" if i % 10 == 0 else (None, "12 34", "")[i % 3], "few") for i in range(1000)]
+    rows += [(7, "other words there again", "copied")] * 10_000 + [(8, "more of that sort", "copied")]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    model = language_id.fit(frame, rows=60)
+    assert model.languages == ["copied", "few"]
+    assert [m[0] for m in model.predict(["seen words", "other words there"])] == ["few", "copied"]
+
+
+def test_samples_are_bounded_by_ids(spark):
+    docs = spark.createDataFrame([(i % 50, f"text {i}") for i in range(5000)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i % 50, int(i % 50 > 20)) for i in range(5000)], "doc_id bigint, good int")
+    rows = labelled_rows(docs, labels, "good", 10, doc_id="doc_id", text="text").collect()
+    assert sorted(r.y for r in rows) == [0] * 10 + [1] * 10
+    assert len({r.key for r in rows}) == 20 and all(r.text == min(f"text {i}" for i in range(r.key, 5000, 50)) for r in rows)

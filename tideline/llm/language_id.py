@@ -8,8 +8,10 @@ from it than ``RADIUS_SLACK`` times the 99.5 % distance of the centroid's own
 training texts is rejected.
 
 The fit reads about ``ROWS`` rows in all and ``PER_LANGUAGE`` of a language, taken
-by a hash of the id, of at most ``LANGUAGES`` most frequent languages; only their
-vectors reach the driver. Prediction is one pass over whole texts, no shuffle.
+by a hash of the id among rows with a letter, one row an id and at least one of every
+language; only their vectors reach the driver. The model has one to ``CENTROIDS``
+vectors a language, so it grows with the number of languages and with nothing else.
+Prediction is one pass over whole texts, no shuffle.
 
 A null text or one without a letter is ``und`` with score 0 and not rejected; so
 is every text if there is nothing to learn from.
@@ -29,7 +31,7 @@ from tideline.llm.samples import held_out
 
 BINS_LOG2 = 13
 BINS = 1 << BINS_LOG2
-CENTROIDS, PER_LANGUAGE, ROWS, LANGUAGES = 3, 400, 8000, 1000
+CENTROIDS, PER_LANGUAGE, ROWS = 3, 400, 8000
 RADIUS_SLACK = 1.25
 #: Texts of one slice; with BINS it bounds the dense counts of a slice.
 SLICE_TEXTS = 256
@@ -144,15 +146,17 @@ def fit(
 ) -> LanguageModel:
     known = docs.select(F.col(doc_id).alias("key"), F.col(text).alias("text"), F.col(lang).alias("lang"))
     known = known.where("lang is not null and key is not null").where(~held_out("key"))
-    sizes = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
-    sizes = sorted((r["lang"], r["count"]) for r in sizes)
+    known = known.where(F.regexp_like("text", F.lit(r"\p{L}")))
+    chance = F.pmod(F.xxhash64(F.lit("language"), "key"), F.lit(1 << 30)) / (1 << 30)
+    known = known.withColumn("chance", chance)
+    sizes = known.groupBy("lang").agg(F.approx_count_distinct("key").alias("n"), F.min("chance").alias("least")).collect()
     if not sizes:
         return LanguageModel([], [])
     each = min(per_language, max(1, rows // len(sizes)))
-    # a language's share of a hash range, so that about `each` of its rows are taken
-    shares = F.create_map(*(F.lit(x) for name, n in sizes for x in (name, min(1.0, each / n))))
-    chance = F.pmod(F.xxhash64(F.lit("language"), "key"), F.lit(1 << 30)) / (1 << 30)
-    taken = known.where("text is not null").where(chance < shares[F.col("lang")])
+    # a language's share of the hash range, so that about `each` of its ids are taken, and one at least
+    limits = [(r["lang"], max(r["least"], each / max(r["n"], 1))) for r in sizes]
+    limits = docs.sparkSession.createDataFrame(limits, "lang string, upto double")
+    taken = known.join(F.broadcast(limits), "lang").where("chance <= upto")
 
     def vectors(batches):
         for batch in tokens.small(batches):
@@ -162,14 +166,21 @@ def fit(
                 rows = [np.flatnonzero(r) for r in counts]
                 yield pa.RecordBatch.from_arrays(
                     [
+                        batch["key"].slice(lo, hi - lo),
                         batch["lang"].slice(lo, hi - lo),
                         pa.array([b.astype(np.int32).tobytes() for b in rows]),
                         pa.array([c[b].astype(np.int32).tobytes() for c, b in zip(counts, rows, strict=True)]),
                     ],
-                    names=["lang", "bins", "counts"],
+                    names=["key", "lang", "bins", "counts"],
                 )
 
-    found = taken.select("lang", "text").mapInArrow(vectors, "lang string, bins binary, counts binary").collect()
+    kind = known.schema["key"].dataType.simpleString()
+    found = taken.select("key", "lang", "text").mapInArrow(
+        vectors, f"key {kind}, lang string, bins binary, counts binary"
+    )
+    # copies of an id, or texts under one id, count once
+    one = F.min(F.struct("lang", "bins", "counts")).alias("row")
+    found = [r["row"] for r in found.groupBy("key").agg(one).collect()]
     by_language: dict[str, list] = {}
     for row in sorted(found):
         if row.bins:

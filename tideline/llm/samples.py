@@ -16,21 +16,21 @@ def held_out(doc_id: str, folds: int = 5) -> Column:
 def labelled_rows(
     docs: DataFrame, labels: DataFrame, label: str, per_class: int, *, doc_id: str, text: str
 ) -> DataFrame:
-    """``key, text, y`` of at most ``per_class`` rows of each label 0 and 1.
+    """``key, text, y`` of at most ``per_class`` ids of each label 0 and 1, one row an id.
 
-    Those with the least hash of their id are taken among the labels of ids that
-    are not held out. Ids are sampled first, so what is broadcast has at most
-    ``2 * per_class`` rows and no text is shuffled. A label with no document, or
-    a document without text, gives no row.
+    Those with the least hash of their id are taken among the distinct ids that are
+    labelled so and not held out. Ids are sampled first, so what is broadcast has at most
+    ``2 * per_class`` rows, and only texts of the sample are shuffled: of an id with several
+    the least is taken. A label with no document, or a document without text, gives no row.
     """
     known = labels.select(F.col(doc_id).alias("key"), F.col(label).cast("int").alias("y"))
     known = known.where("key is not null").where(~held_out("key"))
     picked = [
-        known.where(F.col("y") == v).orderBy(F.xxhash64("key"), "key").limit(per_class) for v in (0, 1)
+        known.where(F.col("y") == v).distinct().orderBy(F.xxhash64("key"), "key").limit(per_class) for v in (0, 1)
     ]
-    ids = F.broadcast(picked[0].unionByName(picked[1]).distinct())
+    ids = F.broadcast(picked[0].unionByName(picked[1]))
     source = docs.select(F.col(doc_id).alias("key"), F.col(text).alias("text")).where("text is not null")
-    return source.join(ids, "key")
+    return source.join(ids, "key").groupBy("key", "y").agg(F.min("text").alias("text")).select("key", "text", "y")
 
 
 class Logistic:
