@@ -1,3 +1,6 @@
+import random
+
+import pytest
 from pyspark.sql import functions as F
 
 from tideline.llm import queries, toxicity
@@ -42,6 +45,70 @@ def test_a_target_counts_anywhere_in_the_clause():
     assert MODEL.features("I will kill you.") > MODEL.features("I will meet you.")
 
 
+def test_reported_speech_and_quotations():
+    full = 4.0 * toxicity.TARGETED
+    assert weights("he said: you idiot") == [full * toxicity.REPORTED]
+    assert weights("he said: look: you idiot. You idiot") == [full * toxicity.REPORTED, full]
+    assert weights("note: you idiot") == [full]
+    assert weights("he said\nyou idiot") == [full]
+    # a mark that nothing closes in its line opens no quotation
+    assert weights('a 5" pipe. An idiot\nAn idiot') == [4.0, 4.0]
+    assert weights('"an idiot. Such an idiot" was there. An idiot') == [4.0 * toxicity.REPORTED] * 2 + [4.0]
+    assert weights('"so" and a 5" idiot') == [4.0]
+    assert weights("An idiot isn’t this; this isn’t an idiot") == [4.0, 4.0 * toxicity.NEGATED]
+
+
+def test_inflected_threats():
+    threat = toxicity.THREAT_WEIGHT * toxicity.TARGETED
+    for text in ("I am killing you", "Ich töte dich", "they shot her", "je te frapperai", "te mataré"):
+        assert weights(text) == [threat], text
+    assert weights("the wood burned") == []
+
+
+def brute_reading(read):
+    """The grammar read clause by clause, with no transducer."""
+    lines, out = [[]], []
+    for word in read:
+        lines[-1].append(word)
+        if word == "\n":
+            lines.append([])
+    for line in lines:
+        marks = [i for i, w in enumerate(line) if w == '"']
+        quoted = [False] * len(line)
+        for a, b in zip(marks[::2], marks[1::2]):
+            quoted[a:b] = [True] * (b - a)
+        clauses, said = [[]], False
+        for i, word in enumerate(line):
+            clauses[-1].append((word, quoted[i]))
+            if word in (".", ":", "\n"):
+                clauses.append([])
+        for clause in clauses:
+            words = [w for w, _ in clause]
+            target = "you" in words
+            total, count, since = 0.0, 0.0, None
+            for i, (word, inside) in enumerate(clause):
+                negated = any(w == "not" for w in words[max(0, i - toxicity.NEGATION_REACH) : i])
+                factor = (toxicity.NEGATED if negated else 1.0) * (toxicity.REPORTED if said or inside else 1.0)
+                if word == "idiot":
+                    total += 4.0 * factor * (toxicity.TARGETED if target else 1.0)
+                if word == "kill" and target:
+                    total += toxicity.THREAT_WEIGHT * factor * toxicity.TARGETED
+                said = said or word == "said"
+            if words and words[-1] in (".", "\n"):
+                said = False
+            if total:
+                out.append(total)
+    return out
+
+
+def test_machine_equals_a_plain_reading():
+    rng = random.Random(2)
+    words = ["idiot", "you", "not", "said", '"', ":", ".", "\n", "kill", "x"]
+    for _ in range(4000):
+        read = rng.choices(words, k=rng.randrange(16))
+        assert weights(" ".join(read)) == pytest.approx(brute_reading(read)), read
+
+
 def test_composition_is_total():
     following, insult, threat = toxicity.compose()
     assert len(following) == len(insult) == len(threat) == 2 * (toxicity.NEGATION_REACH + 1) * 4

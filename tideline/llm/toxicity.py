@@ -1,7 +1,10 @@
 """Toxicity by a weighted grammar of finite-state transducers.
 
 A text is read as tokens. The lexicon transducer writes a symbol for each: end of
-clause, target, negation, report, quote, threat, or an insult with its weight.
+clause, colon, end of line, target, negation, report, quote, threat, or an insult with
+its weight. A colon ends a clause, but what follows it is still reported; a quotation
+holds over clauses to its closing mark, and a mark that no other closes in its line
+(inches, a stray one) opens none.
 Four small transducers read the symbols: whether a target was named in the clause,
 whether a negation stands at most ``NEGATION_REACH`` tokens back, whether the
 clause is reported or quoted speech, and which matches count. Their composition is
@@ -47,42 +50,57 @@ NEGATION_REACH = 3
 NEGATED, REPORTED, TARGETED, THREAT_WEIGHT = 0.4, 0.5, 1.25, 2.0
 
 # Symbols of the lexicon transducer; insults are FIRST_INSULT + their place.
-OTHER, END, TARGET, NEGATION, REPORT, QUOTE, THREAT, FIRST_INSULT = range(8)
+OTHER, END, COLON, LINE, TARGET, NEGATION, REPORT, QUOTE, THREAT, FIRST_INSULT = range(10)
 
-_TOKEN = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*|[.!?;:\n\"“”„«»]")
+_TOKEN = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)*|[.!?;:\n\"“”„«»]")
+#: The closed classes of words, with the inflected forms of threats.
 _CLOSED = {
-    END: ". ! ? ; : \n",
+    END: ". ! ? ;",
+    COLON: ":",
     QUOTE: '" “ ” „ « »',
     TARGET: "you your yours he she him her they them du dich dir ihr ihn sie euch tu toi te vous ton ta "
     "ils elles lui eux tú ti usted ustedes vosotros ellos ellas él ella",
-    NEGATION: "not no never nor isn't aren't wasn't don't nicht kein keine keinen nie niemals ne pas jamais "
-    "aucun nunca jamás ningún ninguna",
+    NEGATION: "not no never nor isn't aren't wasn't weren't don't doesn't didn't won't can't cannot wouldn't "
+    "shouldn't couldn't nicht kein keine keinen nie niemals ne pas jamais aucun nunca jamás ningún ninguna",
     REPORT: "said says wrote reported claimed quoted sagte sagt schrieb behauptete berichtete dit écrit "
     "affirme déclaré dijo dice escribió afirmó",
-    THREAT: "kill hurt destroy beat shoot stab burn töten umbringen verletzen erschießen tuer frapper "
-    "brûler détruire matar golpear quemar disparar",
+    THREAT: "kill kills killed killing hurt hurts hurting destroy destroys destroyed destroying beat beats "
+    "beaten beating shoot shoots shot shooting stab stabs stabbed stabbing burn burns burned burnt burning "
+    "töten töte tötest tötet tötete umbringen verletzen verletze verletzt erschießen erschieße erschießt "
+    "tuer tue tues tuent tuerai tuera frapper frappe frappes frapperai brûler brûle brûlerai détruire détruis "
+    "détruirai matar mato mata matas mataré matará golpear golpeo golpeas golpearé quemar quemo quemaré "
+    "disparar disparo dispararé",
 }
 
 
+def tokens_of(text: str | None) -> list[str]:
+    return _TOKEN.findall((text or "").lower().replace("’", "'"))
+
+
 def _closed_words() -> dict[str, int]:
     words = {w: s for s, text in _CLOSED.items() for w in text.split(" ")}
-    words["\n"] = END
+    words["\n"] = LINE
     return words
 
 
 # Each transducer: state, symbol -> state. Insult stands for all insults.
+_CLAUSE_ENDS = (END, COLON, LINE)
+
+
 def _target(state: int, symbol: int) -> int:
-    return 0 if symbol == END else max(state, int(symbol == TARGET))
+    return 0 if symbol in _CLAUSE_ENDS else max(state, int(symbol == TARGET))
 
 
 def _negation(state: int, symbol: int) -> int:
-    if symbol == END:
+    if symbol in _CLAUSE_ENDS:
         return 0
     return NEGATION_REACH if symbol == NEGATION else max(state - 1, 0)
 
 
 def _report(state: int, symbol: int) -> int:
-    """Bit 1: a verb of saying in this clause; bit 2: inside quotation marks of one line."""
+    """Bit 1: a verb of saying, up to the end of the clause after its colon; bit 2: inside quotation marks."""
+    if symbol == LINE:
+        return 0
     if symbol == END:
         return state & 2
     if symbol == REPORT:
@@ -90,6 +108,17 @@ def _report(state: int, symbol: int) -> int:
     return state ^ 2 if symbol == QUOTE else state
 
 
+def without_strays(read: list[int]) -> list[int]:
+    """The symbols, where the last quotation mark of a line with an odd number of them is none."""
+    opened = None
+    for i, symbol in enumerate((*read, LINE)):
+        if symbol == QUOTE:
+            opened = i if opened is None else None
+        elif symbol == LINE and opened is not None:
+            read[opened], opened = OTHER, None
+    return read
+
+
 def _factor(negation: int, report: int) -> float:
     return (NEGATED if negation else 1.0) * (REPORTED if report else 1.0)
 
@@ -157,9 +186,10 @@ class ToxicityModel:
     def clauses(self, text: str | None) -> tuple[list[tuple[int, float]], int]:
         """(clause number, weight) of the clauses with a match, and the number of tokens."""
         symbols, weights, following, match, end = self._machine()
-        read = list(map(symbols.__getitem__, _TOKEN.findall((text or "").lower())))
+        read = list(map(symbols.__getitem__, tokens_of(text)))
         if not read or max(read) < THREAT:
             return [], len(read)
+        read = without_strays(read)
         found, state, number, insults, threats = [], 0, 0, 0.0, 0.0
         for symbol in (*read, END):
             if symbol >= FIRST_INSULT:
@@ -167,7 +197,7 @@ class ToxicityModel:
                 symbol = FIRST_INSULT
             elif symbol == THREAT:
                 threats += THREAT_WEIGHT * match[state]
-            elif symbol == END:
+            elif symbol in _CLAUSE_ENDS:
                 insult, threat = end[state]
                 weight = insults * insult + threats * threat
                 if weight:
@@ -200,7 +230,7 @@ def _contexts(batches):
     for batch in tokens.small(batches):
         columns = (batch[c].to_pylist() for c in ("half", "text", "y"))
         for half, text, y in zip(*columns, strict=True):
-            read = ["\n", *_TOKEN.findall((text or "").lower()), "\n"]
+            read = ["\n", *tokens_of(text), "\n"]
             for before, word, after in zip(read, read[1:], read[2:]):
                 if len(word) > 1:
                     out.add((half, word, zlib.crc32(f"{before} {after}".encode()), y))
