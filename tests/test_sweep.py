@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import day
 from tideline.functions.buckets import micros, py_micros
-from tideline.operators.scan import Measure, asof_join, running
+from tideline.operators.scan import Measure, asof_join, cut_rows, dense_cuts, running
 from tideline.operators.sweep import (
     deltas_to_counts,
     intervals_to_counts,
@@ -161,3 +161,60 @@ def test_asof_takes_equal_instants_and_the_last_tie(frame, limit):
     out = asof_join(left, right, ["node"], "at", "since", ["kind"], ["rid"], era_limit=limit)
     got = [(r.id, r.kind) for r in out.orderBy("id").collect()]
     assert got == [(1, None), (2, "new"), (3, "new"), (4, None)]
+
+
+# --- slices whose edges come from the data ----------------------------------------------
+
+
+def dense_rows(frame):
+    """A third of all rows in one quarter of an hour of one group, the rest thin; a NULL group and time."""
+    rng = random.Random(5)
+    dense = [(day(9) + timedelta(microseconds=rng.randrange(900_000_000)), "hot", rng.choice([1, -1])) for _ in range(1500)]
+    thin = [(day(1) + timedelta(seconds=rng.randrange(2_500_000)), g, 1) for g in ("hot", "b", None) for _ in range(1000)]
+    same = [(day(9, 1), "b", 1)] * 40
+    return frame(dense + thin + same + [(None, "hot", 5), (None, None, 1)], "at ts, group string, v bigint")
+
+
+def test_dense_slices_give_the_plain_result(frame):
+    df = dense_rows(frame).withColumn("tie", F.monotonically_increasing_id())
+    measures = [Measure("total", "sum", "v"), Measure("top", "max", "v"), Measure("held", "last", "v")]
+    for exclusive in (False, True):
+        plain = running(df, ["group"], "at", measures, ["tie"], slice_us=None, exclusive=exclusive)
+        cut = running(df, ["group"], "at", measures, ["tie"], slice_rows=100, exclusive=exclusive)
+        assert sorted(map(str, cut.collect())) == sorted(map(str, plain.select(cut.columns).collect()))
+
+
+def test_dense_slices_are_even(frame):
+    rows = dense_rows(frame).withColumns({"_us": micros(F.col("at")), "_slice": F.to_date("at")})
+    cell = ["group", "_slice"]
+    cuts = dense_cuts(rows, cell, "_us", 100)
+    parts = cut_rows(rows, cuts, cell, "_us").groupBy(*cell, "_part").count()
+    sizes = {(r.group, r._slice, r._part): r["count"] for r in parts.collect()}
+    hot = {k: n for k, n in sizes.items() if n and k[0] == "hot" and k[1] == day(9).date()}
+    assert len(hot) >= 12 and max(hot.values()) < 250 and sum(hot.values()) > 1500
+    assert sum(sizes.values()) == rows.count()
+    # rows of one instant stay together; edges do not depend on how rows lie in partitions
+    again = {(r.group, r._slice): r._edges for r in dense_cuts(rows.repartition(9), cell, "_us", 100).collect()}
+    assert set(again) == {(r.group, r._slice) for r in cuts.collect()}
+    assert dense_cuts(rows, cell, "_us", 10_000) is None
+    assert dense_cuts(rows.limit(0), cell, "_us", 1) is None
+
+
+def test_two_levels_of_edges_find_the_right_part(frame, spark):
+    rows = spark.range(5000).select(F.lit("a").alias("g"), F.col("id").alias("at"))
+    cuts = dense_cuts(rows, ["g"], "at", 40)
+    edges = cuts.first()._edges
+    assert len(edges) == 124
+    for r in cut_rows(rows, cuts, ["g"], "at").collect():
+        assert r._part == sum(e <= r["at"] for e in edges)
+
+
+def test_setting_cuts_as_well(spark, frame):
+    df = dense_rows(frame).where("at is not null")
+    plain = sorted(map(str, deltas_to_counts(df.select(F.col("at").alias("timestamp"), "group", F.col("v").alias("change")), ["group"]).collect()))
+    spark.conf.set("tideline.slice.rows", "200")
+    try:
+        cut = deltas_to_counts(df.select(F.col("at").alias("timestamp"), "group", F.col("v").alias("change")), ["group"])
+        assert sorted(map(str, cut.collect())) == plain
+    finally:
+        spark.conf.unset("tideline.slice.rows")

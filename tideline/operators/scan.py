@@ -9,9 +9,12 @@ Here every group is cut into time slices:
 3. the carry of each slice joins the slice's rows as its first row, and the
    window runs per (group, slice).
 
-Slices come from the clock, not from sampling, so a recomputed task puts every
-row where the first attempt put it. Their width is the session setting
-``tideline.slice.seconds`` (900): narrower slices for denser data.
+Slices come from the clock, so a recomputed task puts every row where the first
+attempt put it. Their width is the session setting ``tideline.slice.seconds``
+(900). Where the data are denser than any one width suits, ``slice_rows`` (or the
+setting ``tideline.slice.rows``) bounds them as well: rows are written out, cells of
+(group, slice) with more rows are found by counting, and their edges come from a
+quantile sketch per cell, merged over tasks and stored, so a retry cuts alike.
 """
 
 from __future__ import annotations
@@ -23,11 +26,15 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tideline.functions.buckets import MICROS, floor_div, micros
 from tideline.functions.exprs import any_null
+from tideline.session import materialise
 
 _SLICE = "_slice"
+_PART = "_part"
+_AT = "_at_us"
 _ROW = "_row"
 
-SESSION = -1  # slice width from the session setting
+SESSION = -1  # slice width, or rows of a slice, from the session setting
+MOST_PARTS, FINE = 1024, 32
 
 
 def slice_width(df: DataFrame) -> int:
@@ -35,6 +42,57 @@ def slice_width(df: DataFrame) -> int:
     return int(float(seconds) * MICROS)
 
 
+def slice_limit(df: DataFrame, rows: int | None) -> int | None:
+    """Rows that a slice should have at most; None where only the clock cuts."""
+    if rows != SESSION:
+        return rows
+    held = df.sparkSession.conf.get("tideline.slice.rows", None)
+    return int(held) if held else None
+
+
+def _same(left: Sequence[str], prefix: str) -> Column:
+    on = F.lit(True)
+    for c in left:
+        on = on & F.col(c).eqNullSafe(F.col(f"{prefix}{c}"))
+    return on
+
+
+def dense_cuts(rows: DataFrame, cell: Sequence[str], at: str, limit: int) -> DataFrame | None:
+    """Stored edges (``_edges``, every ``FINE``-th again in ``_coarse``) of cells of over ``limit`` rows.
+
+    Reads ``rows`` twice, or once if there is no such cell. An edge is a value of ``at``, so
+    rows of one instant stay together, however many they are.
+    """
+    counted = rows.groupBy(*cell).agg(F.count(F.lit(1)).alias("_n"))
+    heavy = materialise(counted.where(F.col("_n") > limit))
+    most = heavy.agg(F.max("_n")).first()[0]
+    if most is None:
+        return None
+    parts = min(MOST_PARTS, -(-most // limit))
+    shares = [i / parts for i in range(1, parts)]
+    renamed = heavy.drop("_n").withColumnsRenamed({c: f"_h_{c}" for c in cell})
+    dense = rows.join(renamed, _same(cell, "_h_"), "left_semi")
+    sketch = F.percentile_approx(at, shares, 10 * parts).alias("_edges")
+    edges = dense.groupBy(*cell).agg(sketch)
+    return materialise(edges.withColumn("_coarse", F.expr(f"filter(_edges, (e, i) -> i % {FINE} = {FINE - 1})")))
+
+
+def cut_rows(rows: DataFrame, cuts: DataFrame | None, cell: Sequence[str], at: str) -> DataFrame:
+    """``rows`` with ``_part``, their place among the edges of their cell (0 without)."""
+    if cuts is None:
+        return rows.withColumn(_PART, F.lit(0))
+    renamed = cuts.withColumnsRenamed({c: f"_c_{c}" for c in cell})
+    joined = rows.join(renamed, _same(cell, "_c_"), "left")
+
+    def passed(edges: Column) -> Column:
+        return F.size(F.filter(edges, lambda e: e <= F.col(at)))
+
+    first = passed(F.col("_coarse")) * FINE
+    part = first + passed(F.slice("_edges", first + 1, F.lit(FINE)))
+    part = F.when(F.col("_edges").isNull(), 0).otherwise(part)
+    return joined.withColumn(_PART, part).drop("_edges", "_coarse", *[f"_c_{c}" for c in cell])
+
+
 @dataclass(frozen=True)
 class Measure:
     """``out`` = running ``kind`` ("sum", "last" non-NULL, "max") of ``column``."""
@@ -43,12 +101,13 @@ class Measure:
     kind: str
     column: str
 
-    def total(self, value: Column, order: Column) -> Column:
+    def total(self, value: Column, order: Column, descending: bool = False) -> Column:
         if self.kind == "sum":
             return F.sum(value)
         if self.kind == "max":
             return F.max(value)
-        return F.max_by(value, F.when(value.isNotNull(), order))
+        latest = F.min_by if descending else F.max_by
+        return latest(value, F.when(value.isNotNull(), order))
 
     def over(self, value: Column, window) -> Column:
         if self.kind == "sum":
@@ -67,6 +126,8 @@ def running(
     slice_us: int | None = SESSION,
     exclusive: bool = False,
     unique_times: bool = False,
+    slice_rows: int | None = SESSION,
+    descending: bool = False,
 ) -> DataFrame:
     """Add running measures per group in (time, ties) order.
 
@@ -74,9 +135,16 @@ def running(
     window, for groups whose row count is known to be small. A sliced task holds
     at most one slice of one group, the middle step one row per slice of a group.
     ``unique_times`` promises at most one non-NULL value per group and instant,
-    which lets the slice totals use a hash aggregate.
+    which lets the slice totals use a hash aggregate. With ``slice_rows`` the input is
+    written to the shared folder, and cells of more rows are cut at quantiles.
+    ``descending`` runs from the latest instant to the earliest (sums and maxima, or
+    "last" with one row per instant and no ``ties``).
     """
-    order = [F.col(time).asc_nulls_first(), *[F.col(t).asc_nulls_first() for t in ties]]
+
+    def ordered(column: str) -> Column:
+        return F.col(column).desc_nulls_last() if descending else F.col(column).asc_nulls_first()
+
+    order = [ordered(c) for c in (time, *ties)]
     last_row = -1 if exclusive else Window.currentRow
     frame = (Window.unboundedPreceding, last_row)
 
@@ -92,29 +160,36 @@ def running(
             **{c: F.col(m.column) for c, m in inputs.items()},
         }
     )
+    slices = [_SLICE]
+    limit = slice_limit(df, slice_rows)
+    if limit is not None:
+        cell = [*groups, _SLICE]
+        rows = materialise(rows.withColumn(_AT, micros(F.col(time))))
+        rows = cut_rows(rows, dense_cuts(rows, cell, _AT, limit), cell, _AT).drop(_AT)
+        slices.append(_PART)
     rank = F.struct(time, *ties) if ties and not unique_times else F.col(time)
-    totals = rows.groupBy(*groups, _SLICE).agg(
-        *[m.total(F.col(c), rank).alias(c) for c, m in inputs.items()]
+    totals = rows.groupBy(*groups, *slices).agg(
+        *[m.total(F.col(c), rank, descending).alias(c) for c, m in inputs.items()]
     )
     before = (
         Window.partitionBy(*groups)
-        .orderBy(F.col(_SLICE).asc_nulls_first())
+        .orderBy(*[ordered(c) for c in slices])
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     carry = totals.select(
         *groups,
-        _SLICE,
+        *slices,
         *[m.over(F.col(c), before).alias(c) for c, m in inputs.items()],
         F.lit(0).alias(_ROW),
     )
     both = rows.withColumn(_ROW, F.lit(1)).unionByName(carry, allowMissingColumns=True)
     window = (
-        Window.partitionBy(*groups, _SLICE).orderBy(_ROW, *order).rowsBetween(*frame)
+        Window.partitionBy(*groups, *slices).orderBy(_ROW, *order).rowsBetween(*frame)
     )
     return (
         both.withColumns({m.out: m.over(F.col(c), window) for c, m in inputs.items()})
         .where(F.col(_ROW) == 1)
-        .drop(_ROW, _SLICE, *inputs)
+        .drop(_ROW, *slices, *inputs)
     )
 
 

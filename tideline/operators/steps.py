@@ -44,6 +44,7 @@ def align_step_functions(
     value: str,
     groups: Sequence[str],
     slice_us: int | None = SESSION,
+    slice_rows: int | None = SESSION,
 ) -> DataFrame:
     """Forward-fill every group to the union of instants; NULL before a group's first."""
     grid = dense_grid(df, time, groups).withColumn("_side", F.lit(1))
@@ -57,6 +58,7 @@ def align_step_functions(
         ties=["_side"],
         slice_us=slice_us,
         unique_times=True,
+        slice_rows=slice_rows,
     )
     return filled.where(F.col("_side") == 1).select(
         time, *groups, F.col("_filled").alias(value)

@@ -27,7 +27,10 @@ def intervals_to_deltas(
 
 
 def deltas_to_counts(
-    df: DataFrame, groups: Sequence[str], slice_us: int | None = SESSION
+    df: DataFrame,
+    groups: Sequence[str],
+    slice_us: int | None = SESSION,
+    slice_rows: int | None = SESSION,
 ) -> DataFrame:
     """Sum changes per instant, then accumulate them per group."""
     per_instant = df.groupBy("timestamp", *groups).agg(
@@ -39,6 +42,7 @@ def deltas_to_counts(
         "timestamp",
         [Measure("value", "sum", "change")],
         slice_us=slice_us,
+        slice_rows=slice_rows,
     ).select("timestamp", *groups, "value")
 
 
@@ -49,8 +53,9 @@ def intervals_to_counts(
     groups: Sequence[str],
     value: str | None = None,
     slice_us: int | None = SESSION,
+    slice_rows: int | None = SESSION,
 ) -> DataFrame:
     """Step function of the intervals open at each instant, one row per change."""
     return deltas_to_counts(
-        intervals_to_deltas(df, start, end, groups, value), groups, slice_us
+        intervals_to_deltas(df, start, end, groups, value), groups, slice_us, slice_rows
     )

@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tideline.contracts import UsageSpec
+from tideline.functions.buckets import DAY_US
 from tideline.operators import clamp as clamping
 from tideline.operators import overlap, steps, sweep
 from tideline.operators.derive import collapse_dimension, compute_derived_metrics, to_wide
@@ -158,6 +159,19 @@ def interval_counts_value(spark, sf_dir):
     return plain(counts(spark, sf_dir))
 
 
+@query(
+    "interval_counts_dense",
+    sql(f"SELECT timestamp, {_G}, round(value, 4) + 0.0 AS value FROM counts", "counts"),
+)
+def interval_counts_dense(spark, sf_dir):
+    """As ``interval_counts_value``, in slices whose edges come from the data."""
+    rows = Inputs(spark, sf_dir).event_intervals()
+    out = sweep.intervals_to_counts(
+        rows, "start", "end", GROUPS, "value", slice_us=30 * DAY_US, slice_rows=500
+    )
+    return plain(out)
+
+
 @query(
     "overlap_filter",
     sql(
