@@ -1,11 +1,16 @@
-"""Session settings and the one place where lineage is cut."""
+"""Session settings, and the one place where lineage is cut: written copies and their life."""
 
 from __future__ import annotations
 
+import hashlib
+import json
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -41,17 +46,110 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def materialise(df: DataFrame, partition_by: str | None = None) -> DataFrame:
+class Scratch:
+    """The scratch tables of one run, in a folder of their own.
+
+    Every table has an entry in the run's manifest, written once the table is whole
+    and naming the plan and the input files it came from. A later run of the same
+    name finds the entry and reads the table instead of computing it.
+    """
+
+    def __init__(self, spark: SparkSession, name: str | None = None):
+        self.spark, self.name = spark, name
+        self.folder = f"{shared_folder(spark)}/tideline-run-{name or uuid.uuid4().hex}"
+        self.made = self.reused = 0
+
+    def _path(self, *parts: str):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path("/".join((self.folder, *parts)))
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
+
+    def key(self, df: DataFrame, partition_by: str | None) -> str:
+        """Place in the run, plan and inputs; an input file that was written again has another time."""
+        inputs = hashlib.sha256(repr((df.schema.jsonValue(), partition_by)).encode())
+        for file in sorted(df.inputFiles()):
+            fs_path = self.spark._jvm.org.apache.hadoop.fs.Path(file)
+            status = fs_path.getFileSystem(self.spark._jsc.hadoopConfiguration()).getFileStatus(fs_path)
+            inputs.update(f"{file} {status.getLen()} {status.getModificationTime()}".encode())
+        place = self.made + self.reused
+        return f"{place:03d}-{df.semanticHash() & 0xFFFFFFFF:08x}-{inputs.hexdigest()[:16]}"
+
+    def entry(self, key: str) -> dict | None:
+        """What the manifest has on a table; None if it was never finished."""
+        fs, path = self._path("manifest", f"{key}.json")
+        if not fs.exists(path):
+            return None
+        return json.loads(self.spark.read.text(path.toString(), wholetext=True).first()[0])
+
+    def record(self, key: str, entry: dict) -> None:
+        fs, path = self._path("manifest", f"{key}.json")
+        out = fs.create(path, True)
+        out.write(bytearray(json.dumps(entry).encode()))
+        out.close()
+
+    def remove(self) -> None:
+        fs, path = self._path()
+        fs.delete(path, True)
+
+
+_run: ContextVar[Scratch | None] = ContextVar("tideline_run", default=None)
+
+
+@contextmanager
+def scratch(spark: SparkSession, name: str | None = None) -> Iterator[Scratch]:
+    """Tables that ``materialise`` writes meanwhile go when the block ends.
+
+    With a ``name``, a block that fails leaves them, and the next one of that name
+    goes on from those whose plan and inputs are the same. What is read after the
+    block must be written elsewhere. Two blocks of one name must not run at once.
+    """
+    run = Scratch(spark, name)
+    token = _run.set(run)
+    try:
+        yield run
+    except BaseException:
+        if name is None:
+            run.remove()
+        raise
+    else:
+        run.remove()
+    finally:
+        _run.reset(token)
+
+
+def materialise(
+    df: DataFrame, partition_by: str | None = None, observed: Observation | None = None
+) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     The copy is columnar, so later readers still prune columns, push filters and
     (with ``partition_by``) skip whole directories, and a lost executor costs
-    one re-read instead of the whole lineage.
+    one re-read instead of the whole lineage. In a ``scratch`` block the copy belongs
+    to the run. ``observed`` is an observation of ``df``; its metrics stay on the result,
+    under ``tideline_observed``, also where an earlier copy is read.
     """
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/tideline-{uuid.uuid4().hex}"
-    writer = df.write.mode("errorifexists")
-    if partition_by:
-        writer = writer.partitionBy(partition_by)
-    writer.parquet(path)
-    return spark.read.schema(df.schema).parquet(path).select(*df.columns)
+    spark, run = df.sparkSession, _run.get()
+    key = entry = None
+    if run is None:
+        path = f"{shared_folder(spark)}/tideline-{uuid.uuid4().hex}"
+    elif run.name is None:
+        path = f"{run.folder}/{run.made:03d}"
+    else:
+        key = run.key(df, partition_by)
+        entry = run.entry(key)
+        path = f"{run.folder}/{key}"
+    if entry is None:
+        # a table without an entry is what a failed attempt left
+        writer = df.write.mode("overwrite" if key else "errorifexists")
+        if partition_by:
+            writer = writer.partitionBy(partition_by)
+        writer.parquet(path)
+        entry = {"observed": observed.get if observed else {}}
+        if key:
+            run.record(key, entry)
+        if run:
+            run.made += 1
+    else:
+        run.reused += 1
+    copy = spark.read.schema(df.schema).parquet(path).select(*df.columns)
+    copy.tideline_observed = entry["observed"]
+    return copy
