@@ -120,7 +120,7 @@ def test_require_parent_is_three_valued(frame):
 
 def test_missing_key_is_an_error(frame):
     df = frame([(day(1), day(2), "A")], SCHEMA)
-    with pytest.raises(ValueError, match="Join keys missing"):
+    with pytest.raises(ValueError, match="need the key columns"):
         apply_temporal_clamp(df, df, ["host"])
 
 

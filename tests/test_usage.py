@@ -77,48 +77,73 @@ def test_window_prefilter_is_inclusive(frame):
     assert {r.id for r in in_window(df, (day(2), day(5))).collect()} == {"a", "b"}
 
 
-def test_clip_keeps_what_happened_before(frame):
-    spec = UsageSpec(("metric", "resource"), (day(2), day(4)))
-    df = frame([(day(d), "reservable", "vcpu", 1.0) for d in (1, 2, 3, 4, 5)], LONG)
-    kept = usage.clip_to_window(df, spec).orderBy("timestamp").collect()
-    assert [r.timestamp.day for r in kept] == [1, 2, 3, 4]
+def test_clip_cuts_after_the_window_only(frame):
+    times = [day(1), day(3, 6), day(6, 17), day(6, 18), day(6, 19), day(30)]
+    spec = UsageSpec(("metric", "resource"), (day(3, 6), day(6, 18)))
+    df = frame([(t, "committed", r, 2.5) for t in times for r in ("disk", None)], LONG)
+    kept = usage.clip_to_window(df, spec).collect()
+    assert sorted((r.timestamp, str(r.resource)) for r in kept) == [
+        (t, r) for t in times[:4] for r in ("None", "disk")
+    ]
 
 
-STATUS = "timestamp ts, metric string, status string, value bigint"
+def test_collapse_equals_a_plain_sum(frame):
+    rows = [
+        (day(d), metric, status, value)
+        for d in (2, 7)
+        for metric in ("idle", "total", None)
+        for status, value in (("up", 4), ("down", 9), (None, 30), ("up", None), ("lost", 100))
+    ]
+    spec = UsageSpec(("status", "metric"), YEAR)
+    df = frame(rows, "timestamp ts, metric string, status string, value bigint")
+    for exclude in (None, ["down"], ["up", "lost", "down"]):
+        sums = {}
+        for d, metric, status, value in rows:
+            if not exclude or (status is not None and status not in exclude):
+                sums[d, metric] = sums.get((d, metric), 0) + (value or 0)
+        out, rest = collapse_dimension(df, spec, "status", exclude)
+        assert rest == UsageSpec(("metric",), YEAR)
+        assert {(r.timestamp, r.metric): r.value for r in out.collect()} == sums
+    with pytest.raises(ValueError, match="colour.*status, metric"):
+        collapse_dimension(df, spec, "colour")
 
 
-def test_collapse_sums_and_excludes(frame):
-    spec = UsageSpec(("metric", "status"), YEAR)
-    df = frame(
-        [(day(1), "reservable", "valid", 5), (day(1), "reservable", "bad", 3)], STATUS
-    )
-    out, rest = collapse_dimension(df, spec, "status")
-    assert rest.group_cols == ("metric",) and rest.time_range == YEAR
-    assert out.first().value == 8
-    out, _ = collapse_dimension(df, spec, "status", ["bad"])
-    assert out.first().value == 5
-    with pytest.raises(ValueError, match="not in group_cols"):
-        collapse_dimension(df, spec, "nothing")
+def test_collapse_of_only_null_values_is_zero(frame):
+    df = frame([(day(1), "idle", "up", None)], "timestamp ts, metric string, status string, value bigint")
+    out, _ = collapse_dimension(df, UsageSpec(("metric", "status"), YEAR), "status")
+    assert [r.value for r in out.collect()] == [0]
+
+
+LONG_SITE = "timestamp ts, metric string, resource string, site string, value double"
+
+
+def test_wide_output_names_what_is_doubled(frame):
+    rows = [(day(1), m, "disk", s, v) for m, s, v in (("idle", "n", 1.0), ("total", "n", None), ("idle", None, 3.0))]
+    wide = to_wide(frame(rows, LONG_SITE), values=["idle", "total", "absent"])
+    assert {r.site: (r.idle, r.total, r.absent) for r in wide.collect()} == {"n": (1.0, 0.0, 0.0), None: (3.0, 0.0, 0.0)}
+    for again in (rows[0], rows[1], (*rows[2][:4], None)):
+        with pytest.raises(Exception, match=f"more than one row for .*site={again[3] or 'NULL'}.*metric={again[1]}"):
+            to_wide(frame([*rows, again], LONG_SITE)).collect()
+    # unlisted keys keep their row, as zeros
+    only = to_wide(frame(rows[:1], LONG_SITE), values=["total"]).collect()
+    assert [(r.site, r.total) for r in only] == [("n", 0.0)]
 
 
 def by_metric(df, *extra):
     return {(r.metric, *[r[e] for e in extra]): r.value for r in df.collect()}
 
 
-def test_derived_metrics(frame):
-    df = frame(
-        [
-            (day(1), "reservable", "vcpu", 10.0),
-            (day(1), "committed", "vcpu", 3.0),
-            (day(1), "reservable", "memory", 100.0),
-            (day(1), "committed", "memory", 40.0),
-        ],
-        LONG,
-    )
+def test_derived_metrics_are_differences(frame):
+    sizes = {("total", "disk"): 90.5, ("reservable", "disk"): 20.0, ("committed", "disk"): 22.0,
+             ("reservable", None): 7.0, ("occupied_reservation", None): 3.0}
+    df = frame([(day(3), m, r, v) for (m, r), v in sizes.items()], LONG)
     got = by_metric(compute_derived_metrics(df, SPEC), "resource")
-    assert got[("available_reservable", "vcpu")] == 7.0
-    assert got[("available_reservable", "memory")] == 60.0
-    assert ("idle", "vcpu") not in got
+    for resource in ("disk", None):
+        of = {m: sizes.get((m, resource), 0.0) for m in ("total", "reservable", "committed", "occupied_reservation")}
+        assert got["ondemand_capacity", resource] == of["total"] - of["reservable"]
+        assert got["available_reservable", resource] == of["reservable"] - of["committed"]
+        assert got["idle", resource] == of["committed"] - of["occupied_reservation"]
+    assert not any(m == "available_ondemand" for m, _ in got)
 
 
 def test_derived_chain_and_zero_fill(frame):

@@ -19,6 +19,7 @@ from tideline.operators.overlap import has_overlap, overlap_pairs
 from tideline.session import materialise
 
 AUDIT = ("original_start", "original_end", "valid", "coerce_action")
+ACTIONS = ("none", "clipped", "orphan", "null_key")
 HOT_PARENTS = 1_000
 
 _EXEMPT, _NULL_KEY, _MATCH = "exempt", "null_key", "match"
@@ -70,7 +71,7 @@ def _clamp(
 ) -> DataFrame:
     missing = set(keys) - set(children.columns) | set(keys) - set(parents.columns)
     if missing:
-        raise ValueError(f"Join keys missing: {sorted(missing)}")
+        raise ValueError(f"both sides need the key columns {sorted(missing)}")
     columns = [c for c in children.columns if c not in AUDIT]
     needs = F.lit(True) if require_parent is None else require_parent
     tagged = children.select(

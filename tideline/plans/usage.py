@@ -6,16 +6,17 @@ from typing import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from tideline import vocab
 from tideline.contracts import UsageSpec, as_interval, as_timeline
 from tideline.functions.buckets import Buckets, ts
-from tideline.operators import steps, sweep
+from tideline.operators import runs, steps, sweep
 from tideline.operators.derive import (
     compute_derived_metrics,
     distinct_values,
     wide_to_long,
     with_derivations,
 )
-from tideline.operators.scan import Measure, running
+from tideline.operators.scan import SESSION, Measure, running
 
 
 # --- single stages -------------------------------------------------------------
@@ -94,11 +95,50 @@ def metrics_in_window(intervals: DataFrame, spec: UsageSpec) -> list[str]:
     return distinct_values(intervals.where(first <= ts(spec.time_range[1])), "metric")
 
 
+def metric_bits(
+    intervals: DataFrame, spec: UsageSpec, scope: Sequence[str], metrics: Sequence[str]
+) -> DataFrame:
+    """Per scope value, a bit for each metric with an event up to the window's end."""
+    first = F.least(F.col("start"), F.col("end"))
+    other = F.raise_error(F.concat(F.lit("a metric that was not planned for: "), F.col("metric")))
+    bit = F.when(F.col("metric").isNull(), F.lit(0)).otherwise(other.cast("int"))
+    for i, metric in enumerate(metrics):
+        bit = F.when(F.col("metric") == metric, F.lit(1 << i)).otherwise(bit)
+    held = intervals.where(first <= ts(spec.time_range[1])).groupBy(*scope)
+    return held.agg(F.bit_or(bit).alias("_bits"))
+
+
+def _of_scope(
+    wide: DataFrame,
+    bits: DataFrame,
+    index: Sequence[str],
+    scope: Sequence[str],
+    metrics: Sequence[str],
+) -> DataFrame:
+    """Long rows of the metrics that a scope has, and of what derives from them."""
+    needed = {m: 1 << i for i, m in enumerate(metrics)}
+    for result, parent, child in vocab.DERIVATIONS:
+        if parent in needed and child in needed:
+            needed[result] = needed[parent] | needed[child]
+    renamed = {c: f"_of_{c}" for c in scope}
+    on = F.lit(True)
+    for c in scope:
+        on = on & F.col(c).eqNullSafe(F.col(renamed[c]))
+    known = wide.join(bits.withColumnsRenamed(renamed), on).drop(*renamed.values())
+    kept = {
+        m: F.when(F.col("_bits").bitwiseAND(n) == n, F.coalesce(F.col(m), F.lit(0.0)))
+        for m, n in needed.items()
+    }
+    return wide_to_long(known.withColumns(kept), index, list(needed))
+
+
 def run_usage(
     intervals: DataFrame,
     spec: UsageSpec,
     resample_interval: str | None = None,
     metrics: Sequence[str] | None = None,
+    scope: Sequence[str] = (),
+    slice_rows: int | None = SESSION,
 ) -> DataFrame:
     """Aligned counts with derived metrics, sampled when an interval is given.
 
@@ -107,11 +147,19 @@ def run_usage(
     of an instant and derived metrics are column subtractions. With an interval,
     changes are first summed per bucket, so the shuffle carries one row per task,
     group and bucket, whatever the number of intervals; sampling commutes with
-    the subtractions, which is why it may come first.
+    the subtractions, which is why it may come first. Without one, groups are runs
+    between their own changes, and the rows at all instants are written out last.
+
+    ``scope`` names group columns (a site) whose values do not share metrics or
+    instants: each gets the rows that a run over it alone would give. All base
+    metrics (or ``metrics``) are then planned for, so no job has to ask which ones
+    there are; a row with another metric fails.
     """
     spec.validate_against(intervals)
     intervals = as_interval(intervals)
-    if metrics is None:
+    if scope:
+        metrics = metrics or vocab.BASE_METRICS
+    elif metrics is None:
         metrics = metrics_in_window(intervals, spec)
     metrics = list(metrics)
     others = spec.other_groups
@@ -143,22 +191,13 @@ def run_usage(
         )
     else:
         changes = deltas.groupBy("timestamp", *others).agg(*per_metric)
-        grid = steps.dense_grid(changes, "timestamp", others)
-        both = changes.withColumn("_side", F.lit(0)).unionByName(
-            grid.withColumn("_side", F.lit(1)), allowMissingColumns=True
-        )
-        summed = running(
-            both,
-            others,
-            "timestamp",
-            [Measure(f"_sum_{m}", "sum", m) for m in metrics],
-            ties=["_side"],
-        )
-        wide = summed.where(F.col("_side") == 1).select(
-            "timestamp",
-            *others,
-            *[F.coalesce(F.col(f"_sum_{m}"), F.lit(0.0)).alias(m) for m in metrics],
-        )
-
-    wide, metrics = with_derivations(wide, metrics)
-    return as_timeline(wide_to_long(wide, ["timestamp", *others], metrics))
+        numbered = runs.number_instants(changes, "timestamp", scope, slice_rows)
+        levels = runs.to_runs(changes, numbered, "timestamp", others, metrics, scope, slice_rows)
+        wide = runs.expand(levels, numbered, "timestamp", scope)
+
+    wide, present = with_derivations(wide, metrics)
+    index = ["timestamp", *others]
+    if scope:
+        bits = metric_bits(intervals, spec, scope, metrics)
+        return as_timeline(_of_scope(wide, bits, index, scope, metrics))
+    return as_timeline(wide_to_long(wide, index, present))
