@@ -1,6 +1,7 @@
 """Loading, builders, adapters, legacy cache, extraction, whole jobs."""
 
 import json
+import random
 from datetime import datetime
 
 import pytest
@@ -8,7 +9,9 @@ from pyspark.sql import functions as F
 
 from tests.conftest import day
 from tideline.contracts import ContractError, UsageSpec
-from tideline.plans.jobs import process, report
+from tideline.operators.clamp import clamp_hierarchy
+from tideline.plans.jobs import process, report, sites_usage, valid_intervals
+from tideline.plans.usage import run_usage
 from tideline.sources import adapters, builders, jdbc
 from tideline.sources.legacy import DAILY_CACHE, legacy_usage_counts, read_daily_cache
 from tideline.sources.sinks import read_projects, write_report, write_usage
@@ -292,7 +295,7 @@ def test_process_writes_sites_and_leaves_broken_ones_out(spark, tables, tmp_path
         str(out),
         "1d",
         export=exported.append,
-    )
+    ).usage
     assert sorted(p.name for p in out.iterdir() if "=" in p.name) == ["site=north", "site=south"]
     nodes = usage.where("site = 'north' and resource = 'nodes' and metric = 'total'")
     levels = {r.timestamp.day: r.value for r in nodes.collect()}
@@ -302,6 +305,120 @@ def test_process_writes_sites_and_leaves_broken_ones_out(spark, tables, tmp_path
         process(spark, {"broken": str(bad)}, spec, str(out), "1d")
 
 
+KINDS = ("compute_terminate_instance", "compute_shelve_instance", "compute_unshelve_instance", "compute_resize", "other")
+
+
+def test_instance_with_a_third_of_all_events(spark):
+    rng = random.Random(8)
+    names = ["hot"] * 600 + [f"i{n % 200}" for n in range(1200)]
+    actions = [
+        dict(id=n, instance_uuid=u, start_time=rng.choice([None, day(rng.randint(1, 28), rng.randrange(24))]))
+        for n, u in enumerate(names)
+    ]
+    events = [
+        dict(id=n * 2 + k, action_id=n, event=rng.choice(KINDS), result=rng.choice(["Success"] * 4 + ["Error"]), host=f"h{rng.randrange(9)}")
+        for n in range(len(names))
+        for k in range(rng.randint(1, 2))
+    ]
+    raw = {
+        "nova_actions": table(spark, "nova_actions", *actions),
+        "nova_action_events": table(spark, "nova_action_events", *events),
+    }
+    expected = {}
+    times = {a["id"]: (a["instance_uuid"], a["start_time"]) for a in actions}
+    seen = {}
+    for e in events:
+        if e["result"] == "Success":
+            name, at = times[e["action_id"]]
+            seen.setdefault(name, []).append((at, e["id"], e["event"], e["host"]))
+    for name, own in seen.items():
+        resumes = [at for at, _, kind, _ in own if kind == "compute_unshelve_instance" and at]
+        ends = [at for at, _, kind, _ in own if kind in KINDS[:2] and at and (not resumes or at > max(resumes))]
+        hosts = [(at is not None, at or day(1), i, h) for at, i, kind, h in own if kind.startswith("compute_")]
+        expected[name] = (min(ends, default=None), max(hosts)[3] if hosts else None)
+    facts = builders.instance_facts(raw)
+    assert {r.instance_uuid: (r.event_terminated_at, r.last_host) for r in facts.collect()} == expected
+    plan = facts._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join LeftOuter" not in plan and "Generate" not in plan  # no row is copied
+
+
+# --- several sites in one plan --------------------------------------------------------
+
+
+def sites_of(spark, tables):
+    """Sites that share ids but not rows; one without instances, one without half an adapter's tables."""
+    late = {**tables, "blazar_leases": tables["blazar_leases"].withColumn("end_date", F.lit(day(7)))}
+    north = {**tables, "nova_hosts": tables["nova_hosts"].where("id = '1'")}
+    bare = {k: v for k, v in late.items() if not k.startswith("nova_instances")}
+    half = {k: v for k, v in tables.items() if k not in ("nova_actions", "blazar_instance_res")}
+    return {"north": north, "south": late, "bare": bare, "half": half}
+
+
+def content(df):
+    return sorted((tuple(r) for r in df.select(sorted(df.columns)).collect()), key=str)
+
+
+@pytest.mark.parametrize("interval", [None, "1d"])
+def test_sites_together_equal_each_alone(spark, tables, interval):
+    sites = sites_of(spark, tables)
+    spec = UsageSpec(("metric", "resource", "site", "collector_type"), (day(4), day(25)))
+    together = content(sites_usage(sites, spec, interval))
+    alone = []
+    for name, raw in sites.items():
+        intervals = adapters.to_intervals(raw, adapters.REGISTRY).withColumn("collector_type", F.lit("current"))
+        valid = valid_intervals(adapters.in_window(intervals, spec.time_range), name)
+        alone += content(run_usage(valid, spec, interval))
+    assert together == sorted(alone, key=str)
+    metrics = {}
+    names = sorted(("timestamp", "value", "metric", "resource", "site", "collector_type"))
+    for row in together:
+        r = dict(zip(names, row))
+        metrics.setdefault(r["site"], set()).add(r["metric"])
+    assert "occupied_ondemand" in metrics["south"] and "occupied_ondemand" not in metrics["bare"]
+    assert "occupied_reservation" not in metrics["half"] and "reservable" in metrics["half"]
+
+
+def jobs_of(spark, sites, spec, out, name):
+    context = spark.sparkContext
+    context.setJobGroup(name, name)
+    process(spark, sites, spec, out, "1d")
+    context.setJobGroup("others", "others")
+    return len(context.statusTracker().getJobIdsForGroup(name))
+
+
+def test_more_sites_need_no_more_jobs(spark, tables, tmp_path):
+    spec = UsageSpec(("metric", "resource", "site", "collector_type"), (day(1), day(25)))
+    one = jobs_of(spark, {"a": tables}, spec, f"{tmp_path}/one", "one-site")
+    many = jobs_of(spark, {c: tables for c in "abcd"}, spec, f"{tmp_path}/many", "many-sites")
+    assert 0 < many <= one + 3  # adaptive stages of one query count as jobs of their own
+
+
+def test_audit_comes_with_the_run(spark, tables, tmp_path):
+    sites = sites_of(spark, tables)
+    spec = UsageSpec(("metric", "resource", "site", "collector_type"), (day(1), day(25)))
+    done = process(spark, sites, spec, f"{tmp_path}/out", "1d")
+    found = {(a.metric, a.action): a.rows for a in done.audit}
+    rows = adapters.in_window(adapters.sites_to_intervals(sites, adapters.REGISTRY), spec.time_range)
+    counted = clamp_hierarchy(rows, ["site"]).groupBy("metric", "coerce_action").count()
+    assert found == {(r.metric, r.coerce_action): r["count"] for r in counted.collect()}
+    assert any(action != "none" for _, action in found)
+    assert process(spark, sites, spec, f"{tmp_path}/lazy", "1d", cut=False).audit == []
+
+
+def test_sites_fail_as_they_do_alone(spark, tables, frame):
+    with pytest.raises(ValueError, match="no adapter has its tables in .'empty'"):
+        adapters.sites_to_intervals({"north": tables, "empty": {}}, adapters.REGISTRY)
+    df = frame(
+        [("a", day(1), None, "speed", "nodes", 1.0, "n")],
+        "entity_id string, start ts, end ts, metric string, resource string, value double, site string",
+    )
+    spec = UsageSpec(("metric", "resource", "site"), (day(1), day(5)))
+    with pytest.raises(Exception, match="not planned for: speed"):
+        run_usage(df, spec, "1d", scope=["site"]).collect()
+    got = run_usage(df, spec, "1d", metrics=["speed"], scope=["site"]).collect()
+    assert {(r.metric, r.value) for r in got} == {("speed", 1.0)}
+
+
 def cache_rows(spark):
     ddl = ", ".join(f"{c} {t}" for c, t in DAILY_CACHE.items())
     return spark.createDataFrame(
@@ -415,3 +532,56 @@ def test_failure_status_follows_causes():
             raise RuntimeError("wrapped") from inner
     except RuntimeError as exc:
         assert jdbc.failure_status(exc) == "PERMISSION_ERROR"
+
+
+class Recorder:
+    """Stands in for a reader or writer: keeps what it is told, returns itself."""
+
+    def __init__(self):
+        self.told, self.done = {}, None
+        self.read = self.write = self
+
+    def format(self, name):
+        return self.option("format", name)
+
+    def option(self, key, value):
+        self.told[key] = str(value)
+        return self
+
+    def options(self, **more):
+        self.told.update(more)
+        return self
+
+    def mode(self, name):
+        return self.option("mode", name)
+
+    def load(self):
+        self.done = dict(self.told)
+        return self
+
+    save = load
+
+
+def test_database_reads_are_sliced_where_asked():
+    slices = {"nova.instances": jdbc.Slices("id", "1", "9000", 12)}
+    session = Recorder()
+    read = jdbc.jdbc_reader(session, "jdbc:x://db", {"user": "u"}, slices)
+    read("nova.instances")
+    assert session.done == {
+        "format": "jdbc", "user": "u", "url": "jdbc:x://db", "dbtable": "nova.instances",
+        "preferTimestampNTZ": "true", "fetchsize": "10000", "partitionColumn": "id",
+        "lowerBound": "1", "upperBound": "9000", "numPartitions": "12",
+    }
+    session.told.clear()
+    read("nova.services")
+    assert session.done["dbtable"] == "nova.services" and "partitionColumn" not in session.done
+
+
+@pytest.mark.parametrize("overwrite, mode", [(True, "overwrite"), (False, "errorifexists")])
+def test_database_export_replaces_one_table(overwrite, mode):
+    frame = Recorder()
+    jdbc.write_compat(frame, "jdbc:x://db", overwrite=overwrite, properties={"user": "u"}, connections=3)
+    assert frame.done == {
+        "format": "jdbc", "user": "u", "url": "jdbc:x://db", "dbtable": jdbc.OUTPUT_TABLE,
+        "numPartitions": "3", "mode": mode,
+    }

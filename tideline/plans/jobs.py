@@ -1,92 +1,166 @@
-"""Whole runs over several sites."""
+"""Whole runs over several sites, planned as one."""
 
 from __future__ import annotations
 
 import logging
+from dataclasses import dataclass
 from functools import reduce
 from typing import Callable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from tideline import vocab
 from tideline.contracts import UsageSpec
-from tideline.operators.clamp import HOT_PARENTS, clamp_hierarchy
+from tideline.operators.clamp import ACTIONS, HOT_PARENTS, clamp_hierarchy
 from tideline.operators.derive import to_wide
+from tideline.operators.scan import SESSION
 from tideline.plans.compat import to_compat_format
 from tideline.plans.usage import resample, run_usage
-from tideline.session import materialise
-from tideline.sources.adapters import REGISTRY, load_intervals
+from tideline.session import materialise, scratch
+from tideline.sources.adapters import REGISTRY, in_window, sites_to_intervals
+from tideline.sources.builders import Tables
 from tideline.sources.legacy import legacy_usage_counts, read_daily_cache
 from tideline.sources.sinks import write_report, write_usage
-from tideline.sources.tables import RawTableError
+from tideline.sources.tables import RawTableError, load_raw_tables
 
 logger = logging.getLogger(__name__)
 
+#: A site's raw tables: the folder they are in, or the tables themselves.
+Raw = str | Tables
+SITE = ("site",)
+#: Rows that one task of an unsampled timeline should hold at most.
+DENSE_ROWS = 2_000_000
+
+
+@dataclass(frozen=True)
+class Audit:
+    """How many rows of a metric clamping left in each state."""
+
+    metric: str
+    action: str
+    rows: int
+
+
+@dataclass(frozen=True)
+class Processed:
+    """What a run wrote, and what clamping did on the way."""
+
+    usage: DataFrame
+    audit: list[Audit]
+
 
 def _union(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def valid_intervals(intervals: DataFrame, site: str, cut: bool = True) -> DataFrame:
-    """Clamped, valid intervals of one site, tagged with it unless they already are.
+# --- intervals --------------------------------------------------------------------
 
-    With ``cut`` both the intervals and the result are written to the shared
-    folder: the first is read once per metric and level, the second twice.
-    """
-    if cut:
-        intervals = materialise(intervals, partition_by="metric")
-    clamped = clamp_hierarchy(intervals, hot_limit=HOT_PARENTS if cut else None, cut=cut)
-    valid = clamped.where(F.col("valid"))
-    if "site" not in valid.columns:
-        valid = valid.withColumn("site", F.lit(site))
-    return materialise(valid) if cut else valid
 
+def load_sites(spark: SparkSession, sites: Mapping[str, Raw]) -> dict[str, Tables]:
+    """Raw tables of every site; one whose tables cannot be read is logged and left out."""
+    loaded = {}
+    for site, raw in sites.items():
+        try:
+            loaded[site] = load_raw_tables(spark, raw) if isinstance(raw, str) else raw
+        except RawTableError as exc:
+            logger.error("[%s] left out: %s", site, exc)
+    if not loaded:
+        raise RawTableError(f"none of {list(sites)} could be loaded")
+    return loaded
 
-def site_usage(
-    spark: SparkSession,
-    site: str,
-    path: str,
+
+_CELLS = {f"{m}/{a}": (m, a) for m in vocab.BASE_METRICS for a in ACTIONS}
+
+
+def _observed(clamped: DataFrame) -> tuple[DataFrame, Observation]:
+    """``clamped``, counted by metric and action while something else reads it."""
+    seen = Observation("clamp_audit")
+    counts = [
+        F.count_if((F.col("metric") == m) & (F.col("coerce_action") == a)).alias(name)
+        for name, (m, a) in _CELLS.items()
+    ]
+    return clamped.observe(seen, *counts), seen
+
+
+def valid_intervals(
+    intervals: DataFrame,
+    site: str | None = None,
+    cut: bool = True,
+    audit: list[Audit] | None = None,
+) -> DataFrame:
+    """Clamped, valid intervals; rows of one site never clamp those of another.
+
+    Without a site column all rows are those of ``site``. With ``cut`` both the
+    intervals and the result are written to the shared folder: the first is read
+    once per metric and level, the second twice. ``audit`` then gets the counts of
+    each metric and action, valid or not, from the pass that writes the result.
+    """
+    if "site" not in intervals.columns:
+        intervals = intervals.withColumn("site", F.lit(site))
+    if not cut:
+        return clamp_hierarchy(intervals, SITE).where("valid")
+    intervals = materialise(intervals, partition_by="metric")
+    clamped = clamp_hierarchy(intervals, SITE, hot_limit=HOT_PARENTS, cut=True)
+    if audit is None:
+        return materialise(clamped.where("valid"))
+    counted, seen = _observed(clamped)
+    valid = materialise(counted.where("valid"), observed=seen)
+    found = valid.tideline_observed
+    audit.extend(Audit(*cell, found[name]) for name, cell in _CELLS.items() if found[name])
+    return valid
+
+
+def sites_usage(
+    sites: Mapping[str, Tables],
     spec: UsageSpec,
     resample_interval: str | None = None,
     adapters=REGISTRY,
     cut: bool = True,
+    audit: list[Audit] | None = None,
 ) -> DataFrame:
-    intervals = load_intervals(spark, path, spec.time_range, adapters)
-    return run_usage(valid_intervals(intervals, site, cut), spec, resample_interval)
+    """Usage of all sites from one plan: the number of jobs does not grow with them.
+
+    Rows, metrics and instants of a site do not depend on the others, so each site
+    gets what a run over it alone would give.
+    """
+    intervals = sites_to_intervals(sites, adapters).withColumn(
+        "collector_type", F.lit(vocab.CURRENT)
+    )
+    valid = valid_intervals(in_window(intervals, spec.time_range), cut=cut, audit=audit)
+    rows = DENSE_ROWS if cut else SESSION
+    return run_usage(valid, spec, resample_interval, scope=SITE, slice_rows=rows)
+
+
+# --- jobs -------------------------------------------------------------------------
 
 
 def process(
     spark: SparkSession,
-    sites: Mapping[str, str],
+    sites: Mapping[str, Raw],
     spec: UsageSpec,
     output: str,
     resample_interval: str | None = None,
     adapters=REGISTRY,
     export: Callable[[DataFrame], None] | None = None,
     cut: bool = True,
-) -> DataFrame:
-    """Usage of every site (name -> folder of raw tables) to one partitioned folder.
+    run: str | None = None,
+) -> Processed:
+    """Usage of every site (name -> raw tables) to one folder, partitioned by site.
 
     A site whose raw tables cannot be loaded is logged and left out; any other
-    error stops the run. Sites are planned one by one, since the metrics and
-    instants of a site must not depend on the others, and written as one job.
-    ``export`` gets the wide output of all sites.
+    error stops the run. ``export`` gets the wide output of all sites. The audit is
+    empty without ``cut``. Scratch tables are removed; a ``run`` that has a name and
+    fails leaves them for the next one of that name.
     """
-    frames = []
-    for site, path in sites.items():
-        try:
-            frames.append(
-                site_usage(spark, site, path, spec, resample_interval, adapters, cut)
-            )
-        except RawTableError as exc:
-            logger.error("[%s] left out: %s", site, exc)
-    if not frames:
-        raise RawTableError(f"none of {list(sites)} could be loaded")
-    write_usage(_union(frames), output)
-    usage = spark.read.schema(_union(frames).schema).parquet(output)
+    audit: list[Audit] = []
+    loaded = load_sites(spark, sites)
+    with scratch(spark, run):
+        usage = sites_usage(loaded, spec, resample_interval, adapters, cut, audit)
+        write_usage(usage, output)
+    usage = spark.read.schema(usage.schema).parquet(output)
     if export:
         export(to_compat_format(usage))
-    return usage
+    return Processed(usage, audit)
 
 
 def combine_collectors(
@@ -104,23 +178,29 @@ def combine_collectors(
 
 def report(
     spark: SparkSession,
-    sites: Mapping[str, str],
-    legacy_caches: Mapping[str, str],
+    sites: Mapping[str, Raw],
+    legacy_caches: Mapping[str, str | DataFrame],
     spec: UsageSpec,
     interval: str,
     folder: str,
     cut: bool = True,
+    run: str | None = None,
 ) -> DataFrame:
-    """Resampled usage of both collectors to three file formats; returns it wide."""
-    current = {
-        s: site_usage(spark, s, path, spec, interval, cut=cut)
-        for s, path in sites.items()
-    }
-    context = UsageSpec(("metric", "resource"), spec.time_range)
-    legacy = {
-        s: resample(legacy_usage_counts(read_daily_cache(spark, path)), interval, context)
-        for s, path in legacy_caches.items()
-    }
-    usage = materialise(combine_collectors(current, legacy))
-    write_report(usage, folder)
-    return to_wide(usage, ["metric", "collector_type"])
+    """Resampled usage of both collectors to three file formats; returns it wide.
+
+    The caches of the earlier collector are stacked with their site, summed and
+    sampled as one frame. What is returned reads the parquet files just written.
+    """
+    loaded = load_sites(spark, sites)
+    with scratch(spark, run):
+        usage = sites_usage(loaded, spec, interval, cut=cut)
+        if legacy_caches:
+            caches = [
+                (read_daily_cache(spark, c) if isinstance(c, str) else c).withColumn("site", F.lit(s))
+                for s, c in legacy_caches.items()
+            ]
+            context = UsageSpec(("metric", "resource", "site"), spec.time_range)
+            legacy = resample(legacy_usage_counts(_union(caches), SITE), interval, context)
+            usage = usage.unionByName(legacy.withColumn("collector_type", F.lit(vocab.LEGACY)))
+        written = write_report(usage, folder)
+    return to_wide(written, ["metric", "collector_type"])

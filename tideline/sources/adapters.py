@@ -6,7 +6,7 @@ import logging
 from dataclasses import dataclass, field
 from datetime import datetime
 from functools import reduce
-from typing import Callable, Sequence
+from typing import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -53,6 +53,7 @@ class Adapter:
             "end": F.col(self.end),
             "metric": _column(self.metric),
             **{dst: F.col(src) for src, dst in self.context.items()},
+            **{c: F.col(c) for c in builders.scope_of(tables)},
         }
         sizes = {n: _column(e).cast("double") for n, e in self.resources.items()}
         wide = self.source(tables).select(
@@ -77,10 +78,47 @@ def to_intervals(tables: Tables, adapters: Sequence[Adapter]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), usable)
 
 
+def sites_to_intervals(
+    sites: Mapping[str, Tables], adapters: Sequence[Adapter], site_column: str = "site"
+) -> DataFrame:
+    """Intervals of all sites in one plan, each row with its site.
+
+    A raw table is scanned once per site and stacked with that of the others. An
+    adapter reads the sites that have all its tables, so a table that one site
+    lacks neither adds rows there nor leaves the others out. A site for which no
+    adapter has its tables fails, as it does alone.
+    """
+    stacked: dict[tuple[str, tuple[str, ...]], DataFrame] = {}
+
+    def stack(key: str, names: tuple[str, ...]) -> DataFrame:
+        if (key, names) not in stacked:
+            own = [sites[n][key].withColumn(site_column, F.lit(n)) for n in names]
+            stacked[key, names] = reduce(DataFrame.unionByName, own)
+        return stacked[key, names]
+
+    usable, served = [], set()
+    for adapter in adapters:
+        names = tuple(n for n, tables in sites.items() if all(t in tables for t in adapter.needs))
+        if len(names) < len(sites):
+            absent = sorted(set(sites) - set(names))
+            logger.warning("adapter %s left out in %s, tables missing", adapter.name, absent)
+        if not names:
+            continue
+        served.update(names)
+        keys = set.intersection(*(set(sites[n]) for n in names))
+        tables = builders.ScopedTables({k: stack(k, names) for k in keys}, (site_column,))
+        usable.append(adapter.intervals(tables))
+    if served != set(sites):
+        raise ValueError(f"no adapter has its tables in {sorted(set(sites) - served)}")
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), usable)
+
+
 def _scaled(when: str, numerator: str, denominator: str) -> Callable[[], Column]:
     return lambda: pick_fraction(F.expr(when), F.col(numerator), F.col(denominator))
 
 
+# --- Fixed values: which columns of a source make an interval of which metric -------
+
 HOST_TOTAL = Adapter(
     name="host_total",
     entity="hypervisor_hostname",

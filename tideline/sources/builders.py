@@ -5,13 +5,30 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tideline import vocab
-from tideline.functions.exprs import regex_group
+from tideline.functions.buckets import DAY_US
+from tideline.functions.exprs import pick_resource, regex_group
 from tideline.functions.intervals import earlier, later
-from tideline.operators.scan import asof_join
+from tideline.operators.scan import Measure, asof_join, running
 
 Tables = dict[str, DataFrame]
 
 
+class ScopedTables(dict):
+    """Raw tables of several sites in one: rows meet only rows with equal ``scope`` columns."""
+
+    def __init__(self, tables: Tables, scope: tuple[str, ...]):
+        super().__init__(tables)
+        self.scope = scope
+
+
+def scope_of(tables: Tables) -> tuple[str, ...]:
+    return getattr(tables, "scope", ())
+
+
+def _left(df: DataFrame, dimension: DataFrame, key: str, tables: Tables) -> DataFrame:
+    return df.join(dimension, [key, *scope_of(tables)], "left")
+
+
 # --- dimensions ------------------------------------------------------------------
 
 
@@ -23,6 +40,7 @@ def reservable_hosts(tables: Tables) -> DataFrame:
         F.col("vcpus").alias("host_vcpus"),
         F.col("memory_mb").alias("host_memory_mb"),
         F.col("local_gb").alias("host_disk_gb"),
+        *scope_of(tables),
     )
 
 
@@ -31,6 +49,7 @@ def reservations(tables: Tables) -> DataFrame:
         F.col("id").alias("reservation_id"),
         "lease_id",
         F.col("resource_type").alias("reservation_type"),
+        *scope_of(tables),
     )
 
 
@@ -40,6 +59,7 @@ def flavors(tables: Tables) -> DataFrame:
         F.col("vcpus").alias("flavor_vcpus"),
         F.col("memory_mb").alias("flavor_memory_mb"),
         F.col("disk_gb").alias("flavor_disk_gb"),
+        *scope_of(tables),
     )
 
 
@@ -51,12 +71,17 @@ def leases(tables: Tables) -> DataFrame:
         "end_date",
         F.col("created_at").alias("lease_created_at"),
         F.col("deleted_at").alias("lease_deleted_at"),
+        *scope_of(tables),
     )
 
 
 def devices(tables: Tables) -> DataFrame:
     return tables["blazar_devices"].select(
-        F.col("id").alias("device_id"), "name", "device_type", "device_driver"
+        F.col("id").alias("device_id"),
+        "name",
+        "device_type",
+        "device_driver",
+        *scope_of(tables),
     )
 
 
@@ -74,21 +99,17 @@ def _within_lease(df: DataFrame) -> DataFrame:
 
 
 def _effective(resource: str) -> Column:
-    by_flavor = F.col("reservation_type") == "flavor:instance"
-    return F.when(by_flavor, F.col(f"flavor_{resource}")).otherwise(
-        F.col(f"host_{resource}")
-    )
+    """Of the flavor for a flavor reservation, else of the whole host (also without a type)."""
+    whole = F.coalesce(F.col("reservation_type") != "flavor:instance", F.lit(True))
+    return pick_resource(whole, F.col(f"host_{resource}"), F.col(f"flavor_{resource}"))
 
 
 def host_allocations(tables: Tables) -> DataFrame:
     """Host allocations with host, reservation, flavor and lease."""
-    joined = (
-        tables["blazar_alloc"]
-        .join(reservable_hosts(tables), "compute_host_id", "left")
-        .join(reservations(tables), "reservation_id", "left")
-        .join(flavors(tables), "reservation_id", "left")
-        .join(leases(tables), "lease_id", "left")
-    )
+    joined = _left(tables["blazar_alloc"], reservable_hosts(tables), "compute_host_id", tables)
+    joined = _left(joined, reservations(tables), "reservation_id", tables)
+    joined = _left(joined, flavors(tables), "reservation_id", tables)
+    joined = _left(joined, leases(tables), "lease_id", tables)
     return _within_lease(joined).withColumns(
         {f"effective_{r}": _effective(r) for r in ("vcpus", "memory_mb", "disk_gb")}
     )
@@ -96,12 +117,9 @@ def host_allocations(tables: Tables) -> DataFrame:
 
 def device_allocations(tables: Tables) -> DataFrame:
     """Device allocations with device, reservation and lease."""
-    joined = (
-        tables["blazar_device_allocations"]
-        .join(devices(tables), "device_id", "left")
-        .join(reservations(tables), "reservation_id", "left")
-        .join(leases(tables), "lease_id", "left")
-    )
+    joined = _left(tables["blazar_device_allocations"], devices(tables), "device_id", tables)
+    joined = _left(joined, reservations(tables), "reservation_id", tables)
+    joined = _left(joined, leases(tables), "lease_id", tables)
     return _within_lease(joined)
 
 
@@ -113,14 +131,15 @@ def instance_events(tables: Tables) -> DataFrame:
 
     Events of one action share the action's time; ``event_id`` orders them.
     """
+    scope = scope_of(tables)
     actions = tables["nova_actions"].select(
-        F.col("id").alias("action_id"), "instance_uuid", "start_time"
+        F.col("id").alias("action_id"), "instance_uuid", "start_time", *scope
     )
     events = tables["nova_action_events"].where(F.col("result") == "Success")
     return actions.join(
-        events.select("action_id", F.col("id").alias("event_id"), "event", "host"),
-        "action_id",
-    ).select("instance_uuid", "host", "event", "start_time", "event_id")
+        events.select("action_id", F.col("id").alias("event_id"), "event", "host", *scope),
+        ["action_id", *scope],
+    ).select("instance_uuid", "host", "event", "start_time", "event_id", *scope)
 
 
 def last_host(tables: Tables) -> DataFrame:
@@ -128,56 +147,57 @@ def last_host(tables: Tables) -> DataFrame:
 
     Other events carry a controller's name, which is no hypervisor.
     """
-    return instance_facts(tables).where("on_host").select("instance_uuid", "last_host")
-
-
-_SALTS = 16
+    found = instance_facts(tables).where("on_host")
+    return found.select("instance_uuid", "last_host", *scope_of(tables))
 
 
 def instance_facts(tables: Tables) -> DataFrame:
     """Per instance with a successful event: last host and first end after the last resume.
 
-    Events are reduced to one row per instance and time first. The last resumes,
-    one row per resumed instance, are copied to every salt, so an instance with
-    very many events is compared by several tasks. Without a resume the first end
-    counts; ``event_terminated_at`` is NULL without any.
+    Events are reduced to one row per instance and time. A sliced running maximum puts the
+    latest resume so far on each, so an instance with very many events is spread over
+    tasks and no row is copied. The ends are then reduced per instance and resume, and
+    the latest resume wins. Without a resume the first end counts;
+    ``event_terminated_at`` is NULL without any.
     """
     at = F.col("start_time")
+    instance = ["instance_uuid", *scope_of(tables)]
     on_host = F.col("event").startswith("compute_")
     per_time = (
         instance_events(tables)
-        .groupBy("instance_uuid", "start_time")
+        .groupBy(*instance, "start_time")
         .agg(
             F.max(F.col("event").isin(*vocab.END_EVENTS)).alias("ends"),
-            F.max(F.col("event").isin(*vocab.RESUME_EVENTS)).alias("resumes"),
+            F.max(F.when(F.col("event").isin(*vocab.RESUME_EVENTS), at)).alias("resumed_at"),
             F.max(on_host).alias("on_host"),
             F.max_by(F.when(on_host, F.col("host")), F.when(on_host, F.col("event_id"))).alias(
                 "host"
             ),
         )
     )
-    resumed = (
-        per_time.where(F.col("resumes"))
-        .groupBy("instance_uuid")
-        .agg(F.max(at).alias("last_resume"))
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
+    since = running(
+        per_time, instance, "start_time", [Measure("since", "max", "resumed_at")], slice_us=DAY_US
     )
-    salted = per_time.withColumn("_salt", F.pmod(F.hash("start_time"), F.lit(_SALTS)))
-    counts = F.col("ends") & (F.col("last_resume").isNull() | (at > F.col("last_resume")))
+    counts = F.col("ends") & (F.col("since").isNull() | (at > F.col("since")))
     latest = F.when(F.col("on_host"), F.struct("start_time"))
-    return (
-        salted.join(resumed, ["instance_uuid", "_salt"], "left")
-        .groupBy("instance_uuid")
-        .agg(
-            F.min(F.when(counts, at)).alias("event_terminated_at"),
-            F.max_by("host", latest).alias("last_host"),
-            F.max("on_host").alias("on_host"),
-        )
+    per_resume = since.groupBy(*instance, "since").agg(
+        F.min(F.when(counts, at)).alias("first_end"),
+        F.max_by("host", latest).alias("host"),
+        F.max(latest).alias("seen"),
+        F.max("on_host").alias("on_host"),
+    )
+    # a struct keeps a last resume without an end ahead of an earlier one with some
+    end = F.max_by(F.struct("first_end"), F.struct("since"))
+    return per_resume.groupBy(*instance).agg(
+        end["first_end"].alias("event_terminated_at"),
+        F.max_by("host", "seen").alias("last_host"),
+        F.max("on_host").alias("on_host"),
     )
 
 
 def event_end(tables: Tables) -> DataFrame:
-    return instance_facts(tables).select("instance_uuid", "event_terminated_at")
+    found = instance_facts(tables)
+    return found.select("instance_uuid", "event_terminated_at", *scope_of(tables))
 
 
 _HOST_FACTS = ("hypervisor_type", "host_vcpus", "host_memory_mb", "host_disk_gb")
@@ -192,17 +212,19 @@ def host_history(tables: Tables) -> DataFrame:
         F.col("vcpus").alias("host_vcpus"),
         F.col("memory_mb").alias("host_memory_mb"),
         F.col("local_gb").alias("host_disk_gb"),
+        *scope_of(tables),
     )
 
 
 def earliest_host(tables: Tables) -> DataFrame:
     """First record per node, for instances older than it."""
     first = F.min_by(F.struct(*_HOST_FACTS), F.struct("host_created_at", "host_id"))
+    node = ["node", *scope_of(tables)]
     return (
         host_history(tables)
-        .groupBy("node")
+        .groupBy(*node)
         .agg(first.alias("_first"))
-        .select("node", *[F.col(f"_first.{c}").alias(f"first_{c}") for c in _HOST_FACTS])
+        .select(*node, *[F.col(f"_first.{c}").alias(f"first_{c}") for c in _HOST_FACTS])
     )
 
 
@@ -216,6 +238,7 @@ def reservation_hints(tables: Tables) -> DataFrame:
             spec, "$['nova_object.data'].scheduler_hints.reservation[0]"
         ).alias("hinted"),
         regex_group(flavor, "^reservation:(.+)$").alias("from_flavor"),
+        *scope_of(tables),
     )
 
 
@@ -225,13 +248,12 @@ def instances(tables: Tables) -> DataFrame:
     The start stays ``created_at``: an instance occupies its host while it builds.
     Host records are counted per node when this is called (see ``asof_join``).
     """
+    scope = scope_of(tables)
     facts = instance_facts(tables).drop("on_host").withColumnRenamed("instance_uuid", "uuid")
+    launched = tables["nova_instances"].where(F.col("launched_at").isNotNull())
+    known = _left(_left(launched, reservation_hints(tables), "uuid", tables), facts, "uuid", tables)
     enriched = (
-        tables["nova_instances"]
-        .where(F.col("launched_at").isNotNull())
-        .join(reservation_hints(tables), "uuid", "left")
-        .join(facts, "uuid", "left")
-        .withColumns(
+        known.withColumns(
             {
                 "blazar_reservation_id": F.coalesce("hinted", "from_flavor"),
                 "booking_type": F.when(
@@ -255,7 +277,7 @@ def instances(tables: Tables) -> DataFrame:
     matched = asof_join(
         enriched,
         host_history(tables),
-        ["node"],
+        ["node", *scope],
         "created_at",
         "host_created_at",
         _HOST_FACTS,
@@ -263,7 +285,7 @@ def instances(tables: Tables) -> DataFrame:
         era_limit=1_000,
     )
     return (
-        matched.join(earliest_host(tables), "node", "left")
+        _left(matched, earliest_host(tables), "node", tables)
         .withColumns({c: F.coalesce(c, f"first_{c}") for c in _HOST_FACTS})
         .drop(*[f"first_{c}" for c in _HOST_FACTS])
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from typing import Sequence
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -29,14 +31,14 @@ def read_daily_cache(spark: SparkSession, path: str) -> DataFrame:
     return conform(raw, DAILY_CACHE, coerce=("date", *HOURS), keep_extra=False)
 
 
-def legacy_usage_counts(cache: DataFrame) -> DataFrame:
+def legacy_usage_counts(cache: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
     """Hours summed over node types per day, as average counts per metric.
 
     Reserved hours were hours reserved but unused, so they are the idle part and
     committed is reserved plus used. One aggregation: the rows are unique per day
-    and metric afterwards.
+    and metric afterwards, for each value of ``scope`` (a site).
     """
-    daily = cache.groupBy("date").agg(
+    daily = cache.groupBy("date", *scope).agg(
         *[F.coalesce(F.sum(h), F.lit(0.0)).alias(h) for h in HOURS]
     )
     total, maint = F.col("total_hours"), F.col("maint_hours")
@@ -51,7 +53,8 @@ def legacy_usage_counts(cache: DataFrame) -> DataFrame:
     }
     wide = daily.select(
         F.col("date").alias("timestamp"),
+        *scope,
         *[(h / HOURS_PER_DAY).alias(m) for m, h in hours.items()],
     )
-    long = wide.unpivot(["timestamp"], list(hours), "metric", "value")
+    long = wide.unpivot(["timestamp", *scope], list(hours), "metric", "value")
     return as_timeline(long.withColumn("resource", F.lit(vocab.NODES)))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -9,12 +10,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tideline.contracts import UsageSpec
 from tideline.operators.clamp import AUDIT
 from tideline.operators.scan import asof_join
-from tideline.plans.jobs import valid_intervals
+from tideline.plans.jobs import process, report, valid_intervals
 from tideline.plans.usage import run_usage
+from tideline.session import shared_folder
 from tideline.sources import adapters, builders
 from tideline.sources.legacy import legacy_usage_counts
 from workload.timeline import DERIVED, METRICS, hierarchy_ctes, plain
-from workload.views import Inputs, duck
+from workload.views import RAW_TABLES, VIEWS, Inputs, duck
 
 START, END = datetime(1996, 1, 1), datetime(1998, 1, 1)
 LO, HI = f"TIMESTAMP '{START}'", f"TIMESTAMP '{END}'"
@@ -525,17 +527,20 @@ def clamp_service(spark, sf_dir):
     )
 
 
-def _weekly_sql() -> str:
+def _weekly_wide() -> str:
     first = (
         "SELECT *, total - reservable AS ondemand_capacity, "
         "reservable - committed AS available_reservable, "
         "committed - occupied_reservation AS idle FROM weekly"
     )
-    wide = f"SELECT *, ondemand_capacity - occupied_ondemand AS available_ondemand FROM ({first})"
+    return f"SELECT *, ondemand_capacity - occupied_ondemand AS available_ondemand FROM ({first})"
+
+
+def _weekly_sql(site: str = "north", metrics: tuple[str, ...] = METRICS + DERIVED) -> str:
     return (
-        "SELECT timestamp, 'north' AS site, 'current' AS collector_type, resource, metric, "
-        f"round(value, 6) + 0.0 AS value FROM ({wide}) "
-        f"UNPIVOT (value FOR metric IN ({', '.join(METRICS + DERIVED)}))"
+        f"SELECT timestamp, '{site}' AS site, 'current' AS collector_type, resource, metric, "
+        f"round(value, 6) + 0.0 AS value FROM ({_weekly_wide()}) "
+        f"UNPIVOT (value FOR metric IN ({', '.join(metrics)}))"
     )
 
 
@@ -545,6 +550,131 @@ def process_usage(spark, sf_dir):
     return plain(run_usage(valid_intervals(rows, "north"), SPEC, "7d"), 6)
 
 
+# Three sites with one set of hosts and devices each. Orders and all that hangs on them are
+# dealt out by key, some keys to every site; one site has no instance and no device tables.
+
+_ORDER = {
+    "leases": "CAST(id AS BIGINT)",
+    "reservations": "CAST(substr(id, 2) AS BIGINT)",
+    "computehost_allocations": "CAST(substr(reservation_id, 2) AS BIGINT)",
+    "instance_reservations": "CAST(substr(reservation_id, 2) AS BIGINT)",
+    "instances": "CAST(id AS BIGINT)",
+    "request_specs": "CAST(substr(instance_uuid, 2) AS BIGINT)",
+    "instance_actions": "CAST(substr(instance_uuid, 2) AS BIGINT)",
+    "instance_actions_events": "CAST(floor(action_id / 10) AS BIGINT)",
+    "device_allocations": "CAST(substr(reservation_id, 2) AS BIGINT)",
+}
+SITES = ("north", "south", "west")
+_SMALL_SITE = "west"
+_SMALL_METRICS = ("total", "reservable", "committed", "ondemand_capacity", "available_reservable")
+_ABSENT = ("nova_instances", "nova_request_specs", "blazar_devices", "blazar_device_allocations")
+
+
+def _of_site(site: str, key: str) -> str:
+    return f"(CAST(floor({key} / 5) AS BIGINT) % {len(SITES)} = {SITES.index(site)} OR {key} % 11 = 0)"
+
+
+def sites_raw(spark: SparkSession, sf_dir: str) -> dict[str, builders.Tables]:
+    """Raw tables of every site."""
+    raw = Inputs(spark, sf_dir).raw()
+    sites = {}
+    for site in SITES:
+        sites[site] = {
+            name: df.where(_of_site(site, _ORDER[RAW_TABLES[name]])) if RAW_TABLES[name] in _ORDER else df
+            for name, df in raw.items()
+            if site != _SMALL_SITE or name not in _ABSENT
+        }
+    return sites
+
+
+def _sites_sql(select, *names: str) -> str:
+    """One statement a site over its own views, one below the other; ``select`` makes its body."""
+    parts = []
+    for site in SITES:
+        own = {
+            view: f"SELECT * FROM ({VIEWS[view]}) dealt WHERE {_of_site(site, key)}"
+            for view, key in _ORDER.items()
+        }
+        if site == _SMALL_SITE:
+            own["registry"] = " UNION ALL ".join(
+                f"SELECT * FROM {{{rows}}}" for rows in ("total_rows", "reservable_rows", "committed_rows")
+            )
+        parts.append(f"SELECT * FROM ({duck(list(names), select(site), {**CTES, **own})})")
+    return "\nUNION ALL\n".join(parts)
+
+
+def _metrics_of(site: str) -> tuple[str, ...]:
+    return _SMALL_METRICS if site == _SMALL_SITE else METRICS + DERIVED
+
+
+def _run_process(spark: SparkSession, sf_dir: str):
+    folder = f"{shared_folder(spark)}/usage-{uuid.uuid4().hex}"
+    return process(spark, sites_raw(spark, sf_dir), SPEC, folder, "7d")
+
+
+@query("process_sites", _sites_sql(lambda s: _weekly_sql(s, _metrics_of(s)), "weekly"))
+def process_sites(spark, sf_dir):
+    """The job as users call it: all sites, one plan, written by site and read back."""
+    return plain(_run_process(spark, sf_dir).usage, 6)
+
+
+@query(
+    "process_audit",
+    "SELECT metric, action, CAST(sum(n) AS BIGINT) AS n FROM ("
+    + _sites_sql(
+        lambda s: "SELECT metric, coerce_action AS action, count(*) AS n FROM clamped GROUP BY ALL",
+        "clamped",
+    )
+    + ") GROUP BY metric, action",
+)
+def process_audit(spark, sf_dir):
+    """What clamping did in the same job, counted while its result was written."""
+    found = _run_process(spark, sf_dir).audit
+    return spark.createDataFrame([(a.metric, a.action, a.rows) for a in found], "metric string, action string, n long")
+
+
+_LEGACY = ("total", "reservable", "committed", "occupied_reservation", "available_reservable", "idle")
+
+
+def _report_sql(site: str) -> str:
+    cached = site != _SMALL_SITE
+    current = ", ".join(
+        f"round(coalesce(w.{m}, 0), 6) + 0.0 AS {m}_current" if m in _metrics_of(site)
+        else f"CAST(0 AS DOUBLE) AS {m}_current"
+        for m in METRICS + DERIVED
+    )
+    legacy = ", ".join(
+        f"CASE WHEN w.resource = 'nodes' THEN round(coalesce(c.{m}, 0), 6) + 0.0 ELSE 0.0 END AS {m}_legacy"
+        if cached else f"CAST(0 AS DOUBLE) AS {m}_legacy"
+        for m in _LEGACY
+    )
+    return (
+        f"SELECT w.timestamp, '{site}' AS site, w.resource, {current}, {legacy} "
+        f"FROM ({_weekly_wide()}) w ASOF LEFT JOIN cached c ON w.timestamp >= c.timestamp"
+    )
+
+
+CTES["cached"] = """
+    SELECT date AS timestamp, sum(total_hours) / 24 AS total,
+           (sum(total_hours) - sum(maint_hours)) / 24 AS reservable,
+           (sum(reserved_hours) + sum(used_hours)) / 24 AS committed,
+           sum(used_hours) / 24 AS occupied_reservation,
+           (sum(total_hours) - sum(maint_hours) - sum(reserved_hours) - sum(used_hours)) / 24
+               AS available_reservable,
+           sum(reserved_hours) / 24 AS idle
+    FROM {daily_cache} GROUP BY date
+"""
+
+
+@query("report_sites", _sites_sql(_report_sql, "weekly", "cached"))
+def report_sites(spark, sf_dir):
+    """The report job: both collectors of all sites to three file formats, then wide."""
+    cache = Inputs(spark, sf_dir)["daily_cache"]
+    folder = f"{shared_folder(spark)}/report-{uuid.uuid4().hex}"
+    caches = {site: cache for site in SITES if site != _SMALL_SITE}
+    return plain(report(spark, sites_raw(spark, sf_dir), caches, SPEC, "7d", folder), 6)
+
+
 @query(
     "legacy_counts",
     duck(
