@@ -69,6 +69,27 @@ def test_budgets_are_met_to_the_word(spark, monkeypatch):
     assert plain(found) == plain(again) == plain(whole)
 
 
+def test_an_id_with_a_third_of_all_rows(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "SLICE_ROWS", 50)
+    rows = documents(2) + [(None, "hot", "a few words of it")] * 420 + [(9000, "b", "one two three")] * 60
+    docs = spark.createDataFrame(rows, DOCS)
+    found = mixing.mix(docs).collect()
+    assert len(found) == len(rows)
+    # in the order of their keys the copies take words up to the budget, one of them in part
+    hot = sorted(r.taken - r.epochs * r["size"] for r in found if r.doc_id is None and r.source == "hot")
+    assert len(hot) == 420 and sum(0 < t < 5 for t in hot) <= 1
+    size = lambda t: len(re.findall(mixing.WORD, t or ""))
+    sizes = {}
+    for _, s, t in rows:
+        sizes[s] = sizes.get(s, 0) + size(t)
+    target, taken = shares(sizes, mixing.WEIGHTS, mixing.LIMIT), {}
+    for r in found:
+        taken[r.source] = taken.get(r.source, 0) + r.taken
+    assert all(target[s] - 1 - 1e-6 <= taken[s] <= target[s] + 1e-6 for s in sizes)
+    monkeypatch.setattr(mixing, "SLICE_ROWS", 10**9)
+    assert sorted(map(str, found)) == sorted(map(str, mixing.mix(docs).collect()))
+
+
 def test_slices_are_even_whatever_the_weights(spark):
     text = F.when(F.col("id") % 3 == 0, "#$#$#$").otherwise("plain words")
     docs = spark.range(20_000).select(F.col("id").alias("doc_id"), text.alias("text"))

@@ -12,7 +12,9 @@ last one is taken in part, so a source's words miss its target by less than one.
 Prefix sums go over slices of the key order, not whole sources: a source's key
 distribution is known from its counts of quality levels, so it is cut into even
 slices of about ``SLICE_ROWS`` documents whatever the weights, and a hot source is
-spread over as many tasks as it has slices.
+spread over as many tasks as it has slices. Rows of one id, size and quality have one
+key; they are counted before they are put in order, and written out again last, the
+copies of a row with very many by many tasks.
 
 A null text has size 0; a null source is a source of its own, the last in order.
 Rows are told apart by id, size and quality only: among equal ones it does not
@@ -115,16 +117,32 @@ def mix(
     earlier = Window.partitionBy("place").orderBy("slice").rowsBetween(Window.unboundedPreceding, 0)
     before = (F.sum("slice_size").over(earlier) - F.col("slice_size")).alias("before")
     placed = keyed.join(sums.select("place", "slice", before), ["place", "slice"])
+    # rows that nothing tells apart are one row with a count, so an id with very many is one of its slice
+    own = [c for c in placed.columns if c != "level"]
+    groups = placed.groupBy(*own).agg(F.count("*").alias("copies"))
+    words = F.col("size") * F.col("copies")
     within = Window.partitionBy("place", "slice").orderBy("key", "doc_id", "size")
-    running = F.sum("size").over(within.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size")
-    left = F.col("budget") - F.col("before") - running
-    part = F.greatest(F.lit(0), F.least(F.col("size"), left))
-    return placed.select(
-        "doc_id",
-        "source",
-        "size",
-        "source_size",
-        "target",
-        "epochs",
-        (F.col("epochs") * F.col("size") + part).cast("long").alias("taken"),
-    )
+    running = F.sum(words).over(within.rowsBetween(Window.unboundedPreceding, 0)) - words
+    groups = groups.withColumn("left", F.col("budget") - F.col("before") - running)
+
+    def each(rows: DataFrame, first: Column, count: Column) -> DataFrame:
+        """A row for each copy; the copies before one have taken their sizes."""
+        numbered = rows.withColumn("copy", F.explode(F.sequence(first, first + count - 1)))
+        left = F.col("left") - F.col("copy") * F.col("size")
+        part = F.greatest(F.lit(0), F.least(F.col("size"), left))
+        return numbered.select(
+            "doc_id",
+            "source",
+            "size",
+            "source_size",
+            "target",
+            "epochs",
+            (F.col("epochs") * F.col("size") + part).cast("long").alias("taken"),
+        )
+
+    few = each(groups.where(F.col("copies") <= SLICE_ROWS), F.lit(0).cast("long"), F.col("copies"))
+    many = groups.where(F.col("copies") > SLICE_ROWS)
+    many = many.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.floor((F.col("copies") - 1) / SLICE_ROWS))))
+    many = many.repartition("place", "key", "doc_id", "chunk")
+    first = F.col("chunk") * SLICE_ROWS
+    return few.unionByName(each(many, first, F.least(F.lit(SLICE_ROWS), F.col("copies") - first)))
