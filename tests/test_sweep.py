@@ -184,6 +184,26 @@ def test_dense_slices_give_the_plain_result(frame):
         assert sorted(map(str, cut.collect())) == sorted(map(str, plain.select(cut.columns).collect()))
 
 
+def test_what_comes_after_a_row_and_the_whole(frame):
+    rows = dense_rows(frame).groupBy("at", "group").agg(F.sum("v").alias("v")).where("at is not null")
+    measures = [Measure("after", "next", "v"), Measure("all", "whole", "v"), Measure("so_far", "sum", "v")]
+    plain = running(rows, ["group"], "at", measures, slice_us=None)
+    expected = {}
+    for r in rows.collect():
+        expected.setdefault(r.group, []).append((r["at"], r.v))
+    for group, own in expected.items():
+        own.sort()
+        expected[group] = [
+            (at, sum(v for _, v in own[: i + 1]), own[i + 1][1] if i + 1 < len(own) else None, sum(v for _, v in own))
+            for i, (at, v) in enumerate(own)
+        ]
+    for out in (plain, running(rows, ["group"], "at", measures), running(rows, ["group"], "at", measures, slice_rows=100)):
+        found = {}
+        for r in out.collect():
+            found.setdefault(r.group, []).append((r["at"], r.so_far, r.after, r["all"]))
+        assert {g: sorted(own) for g, own in found.items()} == expected
+
+
 def test_dense_slices_are_even(frame):
     rows = dense_rows(frame).withColumns({"_us": micros(F.col("at")), "_slice": F.to_date("at")})
     cell = ["group", "_slice"]

@@ -35,12 +35,9 @@ def number_instants(
 ) -> DataFrame:
     """Every distinct instant of a scope with its number ``_i`` from 1, and ``_end``, the number after the last."""
     instants = changes.select(time, *scope).distinct().withColumn("_one", F.lit(1).cast("long"))
-    counted = running(instants, scope, time, [Measure("_i", "sum", "_one")], slice_rows=slice_rows)
-    # counted from the other end as well, so that the total needs no join
-    both = running(
-        counted, scope, time, [Measure("_left", "sum", "_one")], descending=True, slice_rows=slice_rows
-    )
-    return both.withColumn("_end", F.col("_i") + F.col("_left")).drop("_one", "_left")
+    measures = [Measure("_i", "sum", "_one"), Measure("_n", "whole", "_one")]
+    counted = running(instants, scope, time, measures, slice_rows=slice_rows)
+    return counted.withColumn("_end", F.col("_n") + 1).drop("_one", "_n")
 
 
 def to_runs(
@@ -56,15 +53,11 @@ def to_runs(
 
     ``changes`` has at most one row per group and instant, its instants are those of ``numbered``.
     """
-    ones = changes.withColumn("_one", F.lit(1).cast("long"))
-    sums = [Measure(f"_sum_{v}", "sum", v) for v in values] + [Measure("_n", "sum", "_one")]
-    levels = running(ones, groups, time, sums, slice_rows=slice_rows)
-    levels = levels.select(time, *groups, "_n", *[F.coalesce(f"_sum_{v}", F.lit(0.0)).alias(v) for v in values])
-    placed = _meet(levels, numbered, [time, *scope])
-    ahead = running(
-        placed, groups, time, [Measure("_next", "last", "_i")],
-        exclusive=True, descending=True, unique_times=True, slice_rows=slice_rows,
-    )
+    placed = _meet(changes, numbered, [time, *scope]).withColumn("_one", F.lit(1).cast("long"))
+    measures = [Measure(f"_sum_{v}", "sum", v) for v in values]
+    measures += [Measure("_n", "sum", "_one"), Measure("_next", "next", "_i")]
+    levels = running(placed, groups, time, measures, unique_times=True, slice_rows=slice_rows)
+    levels = levels.withColumns({v: F.coalesce(f"_sum_{v}", F.lit(0.0)) for v in values})
 
     def run(start: Column, end: Column, level) -> Column:
         return F.struct(start.alias("_from"), end.alias("_to"), *[level(v).alias(v) for v in values])
@@ -73,7 +66,7 @@ def to_runs(
     ahead_of_first = run(F.lit(1).cast("long"), F.col("_i"), lambda v: F.lit(0.0))
     first = (F.col("_n") == 1) & (F.col("_i") > 1)
     runs = F.when(first, F.array(ahead_of_first, own)).otherwise(F.array(own))
-    return ahead.select(*groups, F.inline(runs))
+    return levels.select(*groups, F.inline(runs))
 
 
 def expand(

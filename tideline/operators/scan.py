@@ -35,6 +35,7 @@ _ROW = "_row"
 
 SESSION = -1  # slice width, or rows of a slice, from the session setting
 MOST_PARTS, FINE = 1024, 32
+_ALL = (Window.unboundedPreceding, Window.unboundedFollowing)
 
 
 def slice_width(df: DataFrame) -> int:
@@ -95,20 +96,33 @@ def cut_rows(rows: DataFrame, cuts: DataFrame | None, cell: Sequence[str], at: s
 
 @dataclass(frozen=True)
 class Measure:
-    """``out`` = running ``kind`` ("sum", "last" non-NULL, "max") of ``column``."""
+    """``out`` = running ``kind`` ("sum", "last" non-NULL, "max") of ``column``.
+
+    Two kinds look past the row: "next" is the value of the row after it (for rows
+    without ties), "whole" the sum over the group.
+    """
 
     out: str
     kind: str
     column: str
 
     def total(self, value: Column, order: Column, descending: bool = False) -> Column:
-        if self.kind == "sum":
+        if self.kind in ("sum", "whole"):
             return F.sum(value)
         if self.kind == "max":
             return F.max(value)
-        latest = F.min_by if descending else F.max_by
+        latest = F.min_by if descending != (self.kind == "next") else F.max_by
         return latest(value, F.when(value.isNotNull(), order))
 
+    def carried(self, value: Column, ordered) -> Column:
+        """What a slice gets from the totals of the others."""
+        if self.kind == "whole":
+            return F.sum(value).over(ordered.rowsBetween(*_ALL))
+        if self.kind == "next":
+            after = ordered.rowsBetween(1, Window.unboundedFollowing)
+            return F.first(value, ignorenulls=True).over(after)
+        return self.over(value, ordered.rowsBetween(Window.unboundedPreceding, -1))
+
     def over(self, value: Column, window) -> Column:
         if self.kind == "sum":
             return F.sum(value).over(window)
@@ -116,6 +130,15 @@ class Measure:
             return F.max(value).over(window)
         return F.last(value, ignorenulls=True).over(window)
 
+    def within(self, value: Column, ordered, frame) -> Column:
+        """In a slice whose first row, the one with ``_row`` 0, holds what was carried."""
+        carried = F.first(F.when(F.col(_ROW) == 0, value), ignorenulls=True)
+        if self.kind == "whole":
+            return carried.over(ordered.rowsBetween(*_ALL))
+        if self.kind == "next":
+            return F.coalesce(F.lead(value).over(ordered), carried.over(ordered.rowsBetween(*_ALL)))
+        return self.over(value, ordered.rowsBetween(*frame))
+
 
 def running(
     df: DataFrame,
@@ -149,8 +172,13 @@ def running(
     frame = (Window.unboundedPreceding, last_row)
 
     if slice_us is None:
-        window = Window.partitionBy(*groups).orderBy(*order).rowsBetween(*frame)
-        return df.withColumns({m.out: m.over(F.col(m.column), window) for m in measures})
+        plain = df.withColumn(_ROW, F.lit(1))
+        window = Window.partitionBy(*groups).orderBy(*order)
+        own = {m.out: m.within(F.col(m.column), window, frame) for m in measures}
+        own |= {
+            m.out: F.sum(F.col(m.column)).over(window.rowsBetween(*_ALL)) for m in measures if m.kind == "whole"
+        }
+        return plain.withColumns(own).drop(_ROW)
 
     width = slice_width(df) if slice_us == SESSION else slice_us
     inputs = {f"_in{i}": m for i, m in enumerate(measures)}
@@ -171,23 +199,17 @@ def running(
     totals = rows.groupBy(*groups, *slices).agg(
         *[m.total(F.col(c), rank, descending).alias(c) for c, m in inputs.items()]
     )
-    before = (
-        Window.partitionBy(*groups)
-        .orderBy(*[ordered(c) for c in slices])
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
+    by_slice = Window.partitionBy(*groups).orderBy(*[ordered(c) for c in slices])
     carry = totals.select(
         *groups,
         *slices,
-        *[m.over(F.col(c), before).alias(c) for c, m in inputs.items()],
+        *[m.carried(F.col(c), by_slice).alias(c) for c, m in inputs.items()],
         F.lit(0).alias(_ROW),
     )
     both = rows.withColumn(_ROW, F.lit(1)).unionByName(carry, allowMissingColumns=True)
-    window = (
-        Window.partitionBy(*groups, *slices).orderBy(_ROW, *order).rowsBetween(*frame)
-    )
+    window = Window.partitionBy(*groups, *slices).orderBy(_ROW, *order)
     return (
-        both.withColumns({m.out: m.over(F.col(c), window) for c, m in inputs.items()})
+        both.withColumns({m.out: m.within(F.col(c), window, frame) for c, m in inputs.items()})
         .where(F.col(_ROW) == 1)
         .drop(_ROW, *slices, *inputs)
     )

@@ -29,7 +29,7 @@ def _left(df: DataFrame, dimension: DataFrame, key: str, tables: Tables) -> Data
     return df.join(dimension, [key, *scope_of(tables)], "left")
 
 
-# --- dimensions ------------------------------------------------------------------
+# --- dimensions (fixed values: raw columns, and the keys by which rows meet) ---------
 
 
 def reservable_hosts(tables: Tables) -> DataFrame:
