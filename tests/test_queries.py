@@ -63,3 +63,7 @@ def test_window_filter_and_columns_reach_the_scan(spark):
     text = plan(QUERIES["overlap_filter"](spark, DATA))
     assert re.search(r"PushedFilters: \[.*LessThanOrEqual\(ts", text)
     assert "props" not in re.search(r"ReadSchema: \S+", text).group(0)
+
+
+def test_registry_groups_lineitem_once(spark):
+    assert "lineitem.parquet" not in plan(QUERIES["registry_intervals"](spark, DATA))

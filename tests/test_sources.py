@@ -2,6 +2,7 @@
 
 import json
 import random
+import re
 from datetime import datetime
 
 import pytest
@@ -340,6 +341,49 @@ def test_instance_with_a_third_of_all_events(spark):
     assert {r.instance_uuid: (r.event_terminated_at, r.last_host) for r in facts.collect()} == expected
     plan = facts._jdf.queryExecution().optimizedPlan().toString()
     assert "Join LeftOuter" not in plan and "Generate" not in plan  # no row is copied
+    # both sides by action, then by instance and day, then by instance
+    fresh = builders.instance_facts(raw)._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"\bExchange\b", fresh)) <= 4
+
+
+def test_allocations_with_repeated_and_missing_keys(spark):
+    rng = random.Random(3)
+
+    def some(n):
+        return rng.choice([None, *map(str, range(n))])
+
+    def rows(n, **columns):
+        return [{c: make() for c, make in columns.items()} for _ in range(n)]
+
+    def at():
+        return rng.choice([None, day(rng.randint(1, 28))])
+
+    data = {
+        "blazar_alloc": [dict(r, id=str(i)) for i, r in enumerate(rows(60, compute_host_id=lambda: some(4), reservation_id=lambda: some(9)))],
+        "blazar_hosts": rows(6, id=lambda: some(3), vcpus=lambda: rng.randint(1, 9)),
+        "blazar_res": rows(14, id=lambda: some(7), lease_id=lambda: some(8), resource_type=lambda: rng.choice([None, "physical:host", "flavor:instance"])),
+        "blazar_instance_res": rows(8, reservation_id=lambda: some(9), vcpus=lambda: rng.randint(1, 9)),
+        "blazar_leases": rows(12, id=lambda: some(7), start_date=at, created_at=at, end_date=at, deleted_at=at),
+    }
+
+    def met(key, column, value):
+        return [r for r in data[key] if value is not None and r[column] == value] or [{}]
+
+    expected = []
+    for a in data["blazar_alloc"]:
+        for r in met("blazar_res", "id", a["reservation_id"]):
+            for lease in met("blazar_leases", "id", r.get("lease_id")):
+                starts = [t for t in (lease.get("start_date"), lease.get("created_at")) if t]
+                ends = [t for t in (lease.get("end_date"), lease.get("deleted_at")) if t]
+                if not starts or not ends or max(starts) > min(ends):
+                    continue
+                for h in met("blazar_hosts", "id", a["compute_host_id"]):
+                    for f in met("blazar_instance_res", "reservation_id", a["reservation_id"]):
+                        own = f if r["resource_type"] == "flavor:instance" else h
+                        expected.append((a["id"], r["lease_id"], max(starts), min(ends), own.get("vcpus")))
+    found = builders.host_allocations({k: table(spark, k, *v) for k, v in data.items()})
+    names = ("id", "lease_id", "effective_start", "effective_end", "effective_vcpus")
+    assert expected and sorted(map(str, expected)) == sorted(str(tuple(r[n] for n in names)) for r in found.collect())
 
 
 # --- several sites in one plan --------------------------------------------------------

@@ -486,7 +486,8 @@ def diagonal_union(spark, sf_dir):
 
 
 def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = adapters.to_intervals(Inputs(spark, sf_dir).raw(), adapters.REGISTRY)
+    raw = Inputs(spark, sf_dir, kept=("li",)).raw()
+    rows = adapters.to_intervals(raw, adapters.REGISTRY)
     return rows.withColumn("collector_type", F.lit("current"))
 
 

@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tideline.session import materialise
+
 BASE = ("orders", "lineitem", "events", "supplier", "customer", "part")
 
 VIEWS = {
@@ -232,15 +234,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 class Inputs:
-    """Lazily built views of one data folder."""
+    """Lazily built views of one data folder.
+
+    Those in ``kept`` are written to the shared folder when first asked for: plans that read
+    ``li`` for several raw tables group ``lineitem`` once.
+    """
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir = spark, sf_dir
+    def __init__(self, spark: SparkSession, sf_dir: str, kept: tuple[str, ...] = ()):
+        self.spark, self.sf_dir, self.kept = spark, sf_dir, kept
         self._built: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._built:
-            self._built[name] = self._build(name)
+            built = self._build(name)
+            self._built[name] = materialise(built) if name in self.kept else built
         return self._built[name]
 
     def _build(self, name: str) -> DataFrame:
