@@ -249,3 +249,19 @@ def test_first_parent_per_key_order(frame):
     assert tuple(first_per_key(tagged, ["key"]).first()) == ("A", day(25), day(26))
     matched = tagged.where("coerce_action <> 'orphan'")
     assert tuple(first_per_key(matched, ["key"]).first()) == ("A", day(3), day(5))
+
+
+def test_children_that_must_not_match_stay_out_of_the_join(frame):
+    schema = "entity_id string, start ts, end ts, host string, kind string"
+    children = frame(
+        [(str(n), day(1 + n % 9), day(5 + n % 9) if n % 4 else None, host, kind)
+         for n, (host, kind) in enumerate((h, k) for h in ("a", "b", None) for k in ("in", "out", None) for _ in range(6))],
+        schema,
+    )
+    parents = frame([("p", day(3), day(8), "a", "in"), ("q", day(6), None, "a", "in")], schema)
+    needs = F.col("kind") == "in"
+    plain = apply_temporal_clamp(children, parents, ["host"], needs)
+    checked = apply_temporal_clamp(children, parents, ["host"], needs, hot_limit=100)
+    assert sorted(checked.collect(), key=str) == sorted(plain.collect(), key=str)
+    text = checked._jdf.queryExecution().optimizedPlan().toString()
+    assert text.startswith("Union")

@@ -10,9 +10,12 @@ from pyspark.sql import functions as F
 
 from tests.conftest import day
 from tideline.contracts import ContractError, UsageSpec
+from tideline.operators import clamp
 from tideline.operators.clamp import clamp_hierarchy
+from tideline.plans import jobs
 from tideline.plans.jobs import process, report, sites_usage, valid_intervals
 from tideline.plans.usage import run_usage
+from tideline.session import materialise
 from tideline.sources import adapters, builders, jdbc
 from tideline.sources.legacy import DAILY_CACHE, legacy_usage_counts, read_daily_cache
 from tideline.sources.sinks import read_projects, write_report, write_usage
@@ -347,7 +350,7 @@ def test_instance_with_a_third_of_all_events(spark):
 
 
 def test_allocations_with_repeated_and_missing_keys(spark):
-    rng = random.Random(3)
+    rng = random.Random(4)
 
     def some(n):
         return rng.choice([None, *map(str, range(n))])
@@ -449,6 +452,22 @@ def test_audit_comes_with_the_run(spark, tables, tmp_path):
     assert process(spark, sites, spec, f"{tmp_path}/lazy", "1d", cut=False).audit == []
 
 
+def test_copies_of_a_run_hold_what_it_reads(spark, tables, monkeypatch):
+    copies = []
+
+    def noted(df, *given, **named):
+        copies.append((df.columns, *given, named.get("partition_by")))
+        return materialise(df, *given, **named)
+
+    monkeypatch.setattr(jobs, "materialise", noted)
+    monkeypatch.setattr(clamp, "materialise", noted)
+    spec = UsageSpec(("metric", "resource", "site", "collector_type"), (day(4), day(25)))
+    sites_usage({"north": tables}, spec, "1d")
+    assert len(copies) == 4 and all(place is None for _, place in copies)
+    unread = {"blazar_allocation_id", "blazar_lease_id", "instance_id", "blazar_device_id", "device_name", "project_id"}
+    assert not any(unread & set(columns) for columns, _ in copies)
+
+
 def test_sites_fail_as_they_do_alone(spark, tables, frame):
     with pytest.raises(ValueError, match="no adapter has its tables in .'empty'"):
         adapters.sites_to_intervals({"north": tables, "empty": {}}, adapters.REGISTRY)

@@ -21,6 +21,8 @@ from tideline.session import materialise
 AUDIT = ("original_start", "original_end", "valid", "coerce_action")
 ACTIONS = ("none", "clipped", "orphan", "null_key")
 HOT_PARENTS = 1_000
+#: Columns beyond those of an interval that the levels of ``clamp_hierarchy`` match by.
+KEYS = ("hypervisor_hostname", "blazar_host_id", "reservation_type", "blazar_reservation_id")
 
 _EXEMPT, _NULL_KEY, _MATCH = "exempt", "null_key", "match"
 
@@ -90,8 +92,14 @@ def _clamp(
     if hot_limit is not None:
         hot = hot_keys(windows, keys, hot_limit)
         hot = None if hot.isEmpty() else hot.withColumn("_hot", F.lit(True))
-    if hot is None:
+    if hot is None and hot_limit is None:
         return _audited(_keyed_join(tagged, windows, keys), columns)
+    if hot is None:
+        # children that must not match are read apart, and not shuffled to a join
+        matching = F.col("_branch") == _MATCH
+        joined = _keyed_join(tagged.where(matching), windows, keys)
+        apart = tagged.where(~matching)
+        return _audited(joined.unionByName(apart, allowMissingColumns=True), columns)
 
     split = tagged.join(hot, list(keys), "left")
     in_hot = F.col("_hot").isNotNull() & (F.col("_branch") == _MATCH)
@@ -184,15 +192,27 @@ def clamp_hierarchy(
     scope: Sequence[str] = (),
     hot_limit: int | None = None,
     cut: bool = False,
+    keep: Sequence[str] | None = None,
 ) -> DataFrame:
     """Total -> reservable -> committed -> occupied_reservation, each within its parent.
 
     Totals and on-demand occupancy pass. Parents are used whether valid or not.
     ``scope`` adds columns (a site) that parent and child must share. ``cut``
     writes the levels that feed another level to the shared folder, so no level
-    is computed twice; with ``hot_limit`` their keys are checked for skew.
+    is computed twice; with ``hot_limit`` their keys are checked for skew. With ``keep``
+    the written levels hold those columns, what the next level needs and the outcome; others
+    are NULL in the result.
     """
     scope = list(scope)
+
+    def written(level: DataFrame, keys: Sequence[str]) -> DataFrame:
+        if not cut:
+            return level
+        if keep is not None:
+            needed = {*keep, *keys, "entity_id", "start", "end", "valid", "coerce_action", "_rank"}
+            level = level.select(*[c for c in level.columns if c in needed])
+        return materialise(level)
+
     metric = F.col("metric")
     total = intervals.where(metric == vocab.TOTAL)
 
@@ -203,16 +223,17 @@ def clamp_hierarchy(
         F.col("hypervisor_hostname").isNotNull(),
         hot_limit,
     )
-    reservable = materialise(reservable) if cut else reservable
+    keys = ["blazar_host_id", "hypervisor_hostname", "resource", *scope]
+    reservable = written(reservable, keys)
     committed = _clamp(
         intervals.where(metric == vocab.COMMITTED),
         reservable,
-        ["blazar_host_id", "hypervisor_hostname", "resource", *scope],
+        keys,
         F.col("reservation_type").isin(*vocab.HOST_SCOPED_RESERVATIONS),
         hot_limit,
     )
-    committed = materialise(committed) if cut else committed
     keys = ["blazar_reservation_id", "hypervisor_hostname", "resource", *scope]
+    committed = written(committed, keys)
     occupied = _clamp(
         intervals.where(metric == vocab.OCCUPIED_RESERVATION),
         first_per_key(committed, keys),

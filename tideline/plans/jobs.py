@@ -5,13 +5,13 @@ from __future__ import annotations
 import logging
 from dataclasses import dataclass
 from functools import reduce
-from typing import Callable, Mapping
+from typing import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from tideline import vocab
-from tideline.contracts import UsageSpec
-from tideline.operators.clamp import ACTIONS, HOT_PARENTS, clamp_hierarchy
+from tideline.contracts import INTERVAL, UsageSpec
+from tideline.operators.clamp import ACTIONS, HOT_PARENTS, KEYS, clamp_hierarchy
 from tideline.operators.derive import to_wide
 from tideline.operators.scan import SESSION
 from tideline.plans.compat import to_compat_format
@@ -75,11 +75,14 @@ _CELLS = {f"{m}/{a}": (m, a) for m in vocab.BASE_METRICS for a in ACTIONS}
 def _observed(clamped: DataFrame) -> tuple[DataFrame, Observation]:
     """``clamped``, counted by metric and action while something else reads it."""
     seen = Observation("clamp_audit")
-    counts = [
-        F.count_if((F.col("metric") == m) & (F.col("coerce_action") == a)).alias(name)
-        for name, (m, a) in _CELLS.items()
-    ]
-    return clamped.observe(seen, *counts), seen
+    # the texts are compared once a row, not once a row and cell
+    places = {c: F.lit(None).cast("int") for c in ("metric", "coerce_action")}
+    for c, names in (("metric", vocab.BASE_METRICS), ("coerce_action", ACTIONS)):
+        for i, name in enumerate(names):
+            places[c] = F.when(F.col(c) == name, i).otherwise(places[c])
+    cell = places["metric"] * len(ACTIONS) + places["coerce_action"]
+    counts = [F.count_if(F.col("_cell") == i).alias(name) for i, name in enumerate(_CELLS)]
+    return clamped.withColumn("_cell", cell).observe(seen, *counts).drop("_cell"), seen
 
 
 def valid_intervals(
@@ -87,6 +90,7 @@ def valid_intervals(
     site: str | None = None,
     cut: bool = True,
     audit: list[Audit] | None = None,
+    keep: Sequence[str] | None = None,
 ) -> DataFrame:
     """Clamped, valid intervals; rows of one site never clamp those of another.
 
@@ -94,17 +98,29 @@ def valid_intervals(
     intervals and the result are written to the shared folder: the first is read
     once per metric and level, the second twice. ``audit`` then gets the counts of
     each metric and action, valid or not, from the pass that writes the result.
+    ``keep`` names the columns wanted besides those of an interval (all by default);
+    the copies then hold no others, but for the keys of the levels.
     """
     if "site" not in intervals.columns:
         intervals = intervals.withColumn("site", F.lit(site))
+    wanted = None
+    if keep is not None:
+        wanted = list(dict.fromkeys((*INTERVAL, *SITE, *keep)))
+        intervals = intervals.select(*[c for c in intervals.columns if c in (*wanted, *KEYS)])
+
+    def valid_of(clamped: DataFrame) -> DataFrame:
+        valid = clamped.where("valid")
+        return valid if wanted is None else valid.select(*wanted)
+
     if not cut:
-        return clamp_hierarchy(intervals, SITE).where("valid")
-    intervals = materialise(intervals, partition_by="metric")
-    clamped = clamp_hierarchy(intervals, SITE, hot_limit=HOT_PARENTS, cut=True)
+        return valid_of(clamp_hierarchy(intervals, SITE))
+    # not partitioned by metric, which would sort all rows: an adapter's files hold its metrics only
+    intervals = materialise(intervals)
+    clamped = clamp_hierarchy(intervals, SITE, hot_limit=HOT_PARENTS, cut=True, keep=wanted)
     if audit is None:
-        return materialise(clamped.where("valid"))
+        return materialise(valid_of(clamped))
     counted, seen = _observed(clamped)
-    valid = materialise(counted.where("valid"), observed=seen)
+    valid = materialise(valid_of(counted), observed=seen)
     found = valid.tideline_observed
     audit.extend(Audit(*cell, found[name]) for name, cell in _CELLS.items() if found[name])
     return valid
@@ -126,7 +142,8 @@ def sites_usage(
     intervals = sites_to_intervals(sites, adapters).withColumn(
         "collector_type", F.lit(vocab.CURRENT)
     )
-    valid = valid_intervals(in_window(intervals, spec.time_range), cut=cut, audit=audit)
+    rows = in_window(intervals, spec.time_range)
+    valid = valid_intervals(rows, cut=cut, audit=audit, keep=spec.group_cols)
     rows = DENSE_ROWS if cut else SESSION
     return run_usage(valid, spec, resample_interval, scope=SITE, slice_rows=rows)
 

@@ -7,12 +7,12 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tideline.contracts import UsageSpec
+from tideline.contracts import INTERVAL, UsageSpec
 from tideline.operators.clamp import AUDIT
 from tideline.operators.scan import asof_join
 from tideline.plans.jobs import process, report, valid_intervals
 from tideline.plans.usage import run_usage
-from tideline.session import shared_folder
+from tideline.session import scratch, shared_folder
 from tideline.sources import adapters, builders
 from tideline.sources.legacy import legacy_usage_counts
 from workload.timeline import DERIVED, METRICS, hierarchy_ctes, plain
@@ -513,12 +513,12 @@ def registry_intervals(spark, sf_dir):
     ),
 )
 def clamp_service(spark, sf_dir):
-    from tideline.operators.clamp import HOT_PARENTS, clamp_hierarchy
+    from tideline.operators.clamp import HOT_PARENTS, KEYS, clamp_hierarchy
     from tideline.session import materialise
 
     rows = adapters.in_window(registry(spark, sf_dir), (START, END))
-    rows = materialise(rows, partition_by="metric")
-    clamped = clamp_hierarchy(rows, hot_limit=HOT_PARENTS, cut=True)
+    rows = materialise(rows.select(*INTERVAL, *KEYS))
+    clamped = clamp_hierarchy(rows, hot_limit=HOT_PARENTS, cut=True, keep=("metric", "resource"))
     by = ("metric", "resource", *AUDIT[2:])
     return clamped.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n"),
@@ -548,7 +548,7 @@ def _weekly_sql(site: str = "north", metrics: tuple[str, ...] = METRICS + DERIVE
 @query("process_usage", sql(_weekly_sql(), "weekly"))
 def process_usage(spark, sf_dir):
     rows = adapters.in_window(registry(spark, sf_dir), (START, END))
-    return plain(run_usage(valid_intervals(rows, "north"), SPEC, "7d"), 6)
+    return plain(run_usage(valid_intervals(rows, "north", keep=SPEC.group_cols), SPEC, "7d"), 6)
 
 
 # Three sites with one set of hosts and devices each. Orders and all that hangs on them are
@@ -577,7 +577,7 @@ def _of_site(site: str, key: str) -> str:
 
 def sites_raw(spark: SparkSession, sf_dir: str) -> dict[str, builders.Tables]:
     """Raw tables of every site."""
-    raw = Inputs(spark, sf_dir).raw()
+    raw = Inputs(spark, sf_dir, kept=("li",)).raw()
     sites = {}
     for site in SITES:
         sites[site] = {
@@ -610,7 +610,8 @@ def _metrics_of(site: str) -> tuple[str, ...]:
 
 def _run_process(spark: SparkSession, sf_dir: str):
     folder = f"{shared_folder(spark)}/usage-{uuid.uuid4().hex}"
-    return process(spark, sites_raw(spark, sf_dir), SPEC, folder, "7d")
+    with scratch(spark):
+        return process(spark, sites_raw(spark, sf_dir), SPEC, folder, "7d")
 
 
 @query("process_sites", _sites_sql(lambda s: _weekly_sql(s, _metrics_of(s)), "weekly"))
@@ -673,7 +674,9 @@ def report_sites(spark, sf_dir):
     cache = Inputs(spark, sf_dir)["daily_cache"]
     folder = f"{shared_folder(spark)}/report-{uuid.uuid4().hex}"
     caches = {site: cache for site in SITES if site != _SMALL_SITE}
-    return plain(report(spark, sites_raw(spark, sf_dir), caches, SPEC, "7d", folder), 6)
+    with scratch(spark):
+        wide = report(spark, sites_raw(spark, sf_dir), caches, SPEC, "7d", folder)
+    return plain(wide, 6)
 
 
 @query(
