@@ -222,6 +222,19 @@ def test_hierarchy_rules_per_level(frame):
     assert got["al2"] == (True, "clipped", day(20), day(25))
 
 
+def test_parents_without_a_key_are_no_hot_key(frame):
+    parents = frame([(day(1), day(2), k) for k in (None, None, None, "a", "a", "b")], SCHEMA)
+    assert [r.key for r in hot_keys(parents, ["key"], 1).collect()] == ["a"]
+    children = frame(
+        [("x", day(1), day(2), None), ("y", day(1), day(2), "b"), ("z", day(4), day(5), "a")],
+        "entity_id string, start ts, end ts, key string",
+    )
+    plain = apply_temporal_clamp(children, parents, ["key"])
+    checked = apply_temporal_clamp(children, parents, ["key"], hot_limit=2)
+    assert sorted(checked.collect(), key=str) == sorted(plain.collect(), key=str)
+    assert "_hot" not in checked._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_hierarchy_scope_and_cut_change_nothing_else(frame):
     df = frame(CHAIN, LEVELS)
     two = df.withColumn("site", F.lit("x")).unionByName(

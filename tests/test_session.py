@@ -1,10 +1,12 @@
 """Written copies: what stays, what goes, what is used again."""
 
+import time
+
 import pytest
 from pyspark.sql import Observation, functions as F
 
 from tests.conftest import day
-from tideline.session import materialise, scratch, shared_folder
+from tideline.session import copies, materialise, release, scratch, shared_folder
 from tideline.sources.sinks import write_usage
 
 
@@ -29,6 +31,40 @@ def test_scratch_goes_with_its_block(spark):
     assert materialise(spark.range(3)).count() == 3 and len(folders(spark) - before) == 1
 
 
+def shuffle_files(spark):
+    found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {f for f in found.mkString("\n").split("\n") if "/shuffle_" in f}
+
+
+def test_shuffles_of_a_copy_go_when_it_is_whole(spark):
+    before = shuffle_files(spark)
+    counted = spark.range(1000, numPartitions=4).groupBy((F.col("id") % 7).alias("k")).count()
+    copy = materialise(counted)
+    for _ in range(50):  # files are removed in the background
+        if not shuffle_files(spark) - before:
+            break
+        time.sleep(0.1)
+    assert not shuffle_files(spark) - before
+    assert sorted(copy.collect()) == sorted(counted.collect()) and len(counted.collect()) == 7
+
+
+def test_spent_copies_are_released(spark, tmp_path):
+    before = folders(spark)
+    with copies() as made:
+        a = materialise(spark.range(10))
+        with copies() as inner:
+            b = materialise(a.where("id > 4"))
+    assert made == [a, b] and inner == [b]
+    release(made, but=b)
+    assert b.count() == 5 and len(folders(spark) - before) == 1
+    source = f"{tmp_path}/source"
+    spark.range(10).write.parquet(source)
+    with scratch(spark, "kept"), copies() as made:
+        a = materialise(spark.read.parquet(source))
+        release(made)
+        assert a.count() == 10  # the next run of this name may need it
+
+
 def steps(spark, source, fail):
     with scratch(spark, "rerun") as run:
         seen = Observation("seen")

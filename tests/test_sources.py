@@ -4,6 +4,7 @@ import json
 import random
 import re
 from datetime import datetime
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -15,7 +16,7 @@ from tideline.operators.clamp import clamp_hierarchy
 from tideline.plans import jobs
 from tideline.plans.jobs import process, report, sites_usage, valid_intervals
 from tideline.plans.usage import run_usage
-from tideline.session import materialise
+from tideline.session import copies, materialise, shared_folder
 from tideline.sources import adapters, builders, jdbc
 from tideline.sources.legacy import DAILY_CACHE, legacy_usage_counts, read_daily_cache
 from tideline.sources.sinks import read_projects, write_report, write_usage
@@ -468,6 +469,41 @@ def test_copies_of_a_run_hold_what_it_reads(spark, tables, monkeypatch):
     assert not any(unread & set(columns) for columns, _ in copies)
 
 
+def test_joined_sources_are_written_in_steps(spark, tables, monkeypatch):
+    made = {}
+
+    def noted(module):
+        def write(df):
+            made.setdefault(module.__name__, []).append(df.columns)
+            return materialise(df)
+
+        monkeypatch.setattr(module, "materialise", write)
+
+    noted(adapters)
+    noted(builders)
+    window = (day(4), day(25))
+    whole = adapters.in_window(adapters.to_intervals(tables, adapters.REGISTRY), window)
+    assert not made
+    keep = ("hypervisor_hostname", "blazar_reservation_id")
+    cut = adapters.to_intervals(tables, adapters.REGISTRY, window, keep, cut=True)
+    assert content(cut) == content(whole.select(*cut.columns))
+    # allocations of hosts and of devices, instances; events with their instance, facts of instances
+    assert [len(made[m.__name__]) for m in (adapters, builders)] == [3, 2]
+    unread = {"blazar_lease_id", "instance_id", "blazar_device_id", "device_name", "project_id"}
+    assert not any(unread & set(columns) for columns in made[adapters.__name__])
+
+
+def test_spent_copies_of_a_run_go(spark, tables):
+    folder = Path(shared_folder(spark).removeprefix("file://"))
+    before = {*folder.glob("tideline-*")}
+    with copies() as given:
+        own = {**tables, "blazar_leases": materialise(tables["blazar_leases"])}
+    spec = UsageSpec(("metric", "resource", "site", "collector_type"), (day(4), day(25)))
+    usage = sites_usage({"north": own}, spec, "1d", spent=given)
+    assert len({*folder.glob("tideline-*")} - before) == 1  # only the valid intervals
+    assert content(usage) == content(sites_usage({"north": tables}, spec, "1d", cut=False)) != []
+
+
 def test_sites_fail_as_they_do_alone(spark, tables, frame):
     with pytest.raises(ValueError, match="no adapter has its tables in .'empty'"):
         adapters.sites_to_intervals({"north": tables, "empty": {}}, adapters.REGISTRY)

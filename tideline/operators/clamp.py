@@ -28,9 +28,12 @@ _EXEMPT, _NULL_KEY, _MATCH = "exempt", "null_key", "match"
 
 
 def hot_keys(parents: DataFrame, keys: Sequence[str], limit: int) -> DataFrame:
-    """Keys with more than ``limit`` parents (at most ``rows / limit`` of them)."""
+    """Keys with more than ``limit`` parents (at most ``rows / limit`` of them).
+
+    One with a NULL matches no child, however many parents have it.
+    """
     return (
-        parents.groupBy(*keys).count().where(F.col("count") > limit).select(*keys)
+        parents.where(~any_null(keys)).groupBy(*keys).count().where(F.col("count") > limit).select(*keys)
     )
 
 

@@ -16,7 +16,7 @@ from tideline.operators.derive import to_wide
 from tideline.operators.scan import SESSION
 from tideline.plans.compat import to_compat_format
 from tideline.plans.usage import resample, run_usage
-from tideline.session import materialise, scratch
+from tideline.session import copies, materialise, release, scratch
 from tideline.sources.adapters import REGISTRY, in_window, sites_to_intervals
 from tideline.sources.builders import Tables
 from tideline.sources.legacy import legacy_usage_counts, read_daily_cache
@@ -91,6 +91,7 @@ def valid_intervals(
     cut: bool = True,
     audit: list[Audit] | None = None,
     keep: Sequence[str] | None = None,
+    spent: Sequence[DataFrame] = (),
 ) -> DataFrame:
     """Clamped, valid intervals; rows of one site never clamp those of another.
 
@@ -99,7 +100,9 @@ def valid_intervals(
     once per metric and level, the second twice. ``audit`` then gets the counts of
     each metric and action, valid or not, from the pass that writes the result.
     ``keep`` names the columns wanted besides those of an interval (all by default);
-    the copies then hold no others, but for the keys of the levels.
+    the copies then hold no others, but for the keys of the levels. Copies in ``spent``
+    are those that only ``intervals`` reads; they go when it is written, and all others of
+    this step when its result is.
     """
     if "site" not in intervals.columns:
         intervals = intervals.withColumn("site", F.lit(site))
@@ -115,12 +118,15 @@ def valid_intervals(
     if not cut:
         return valid_of(clamp_hierarchy(intervals, SITE))
     # not partitioned by metric, which would sort all rows: an adapter's files hold its metrics only
-    intervals = materialise(intervals)
-    clamped = clamp_hierarchy(intervals, SITE, hot_limit=HOT_PARENTS, cut=True, keep=wanted)
+    with copies() as made:
+        intervals = materialise(intervals)
+        release(spent)
+        clamped = clamp_hierarchy(intervals, SITE, hot_limit=HOT_PARENTS, cut=True, keep=wanted)
+        counted, seen = (clamped, None) if audit is None else _observed(clamped)
+        valid = materialise(valid_of(counted), observed=seen)
+    release(made, but=valid)
     if audit is None:
-        return materialise(valid_of(clamped))
-    counted, seen = _observed(clamped)
-    valid = materialise(valid_of(counted), observed=seen)
+        return valid
     found = valid.tideline_observed
     audit.extend(Audit(*cell, found[name]) for name, cell in _CELLS.items() if found[name])
     return valid
@@ -133,17 +139,20 @@ def sites_usage(
     adapters=REGISTRY,
     cut: bool = True,
     audit: list[Audit] | None = None,
+    spent: Sequence[DataFrame] = (),
 ) -> DataFrame:
     """Usage of all sites from one plan: the number of jobs does not grow with them.
 
     Rows, metrics and instants of a site do not depend on the others, so each site
-    gets what a run over it alone would give.
+    gets what a run over it alone would give. Copies in ``spent`` are those that only the
+    sites' tables read; with ``cut`` they go once the intervals are written.
     """
-    intervals = sites_to_intervals(sites, adapters).withColumn(
-        "collector_type", F.lit(vocab.CURRENT)
-    )
+    with copies() as made:
+        intervals = sites_to_intervals(
+            sites, adapters, time_range=spec.time_range, keep=(*KEYS, *spec.group_cols), cut=cut
+        ).withColumn("collector_type", F.lit(vocab.CURRENT))
     rows = in_window(intervals, spec.time_range)
-    valid = valid_intervals(rows, cut=cut, audit=audit, keep=spec.group_cols)
+    valid = valid_intervals(rows, cut=cut, audit=audit, keep=spec.group_cols, spent=(*spent, *made))
     rows = DENSE_ROWS if cut else SESSION
     return run_usage(valid, spec, resample_interval, scope=SITE, slice_rows=rows)
 
@@ -161,18 +170,19 @@ def process(
     export: Callable[[DataFrame], None] | None = None,
     cut: bool = True,
     run: str | None = None,
+    spent: Sequence[DataFrame] = (),
 ) -> Processed:
     """Usage of every site (name -> raw tables) to one folder, partitioned by site.
 
     A site whose raw tables cannot be loaded is logged and left out; any other
     error stops the run. ``export`` gets the wide output of all sites. The audit is
     empty without ``cut``. Scratch tables are removed; a ``run`` that has a name and
-    fails leaves them for the next one of that name.
+    fails leaves them for the next one of that name. ``spent`` as for ``sites_usage``.
     """
     audit: list[Audit] = []
     loaded = load_sites(spark, sites)
     with scratch(spark, run):
-        usage = sites_usage(loaded, spec, resample_interval, adapters, cut, audit)
+        usage = sites_usage(loaded, spec, resample_interval, adapters, cut, audit, spent)
         write_usage(usage, output)
     usage = spark.read.schema(usage.schema).parquet(output)
     if export:
@@ -202,15 +212,17 @@ def report(
     folder: str,
     cut: bool = True,
     run: str | None = None,
+    spent: Sequence[DataFrame] = (),
 ) -> DataFrame:
     """Resampled usage of both collectors to three file formats; returns it wide.
 
     The caches of the earlier collector are stacked with their site, summed and
-    sampled as one frame. What is returned reads the parquet files just written.
+    sampled as one frame. What is returned reads the parquet files just written. ``spent``
+    as for ``sites_usage``.
     """
     loaded = load_sites(spark, sites)
     with scratch(spark, run):
-        usage = sites_usage(loaded, spec, interval, cut=cut)
+        usage = sites_usage(loaded, spec, interval, cut=cut, spent=spent)
         if legacy_caches:
             caches = [
                 (read_daily_cache(spark, c) if isinstance(c, str) else c).withColumn("site", F.lit(s))

@@ -6,7 +6,7 @@ import hashlib
 import json
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 
@@ -92,6 +92,9 @@ class Scratch:
 
 
 _run: ContextVar[Scratch | None] = ContextVar("tideline_run", default=None)
+_noted: ContextVar[tuple[list, ...]] = ContextVar("tideline_noted", default=())
+#: Removes the shuffle files of a query when it ends, in place of when the driver next collects garbage.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 @contextmanager
@@ -116,6 +119,43 @@ def scratch(spark: SparkSession, name: str | None = None) -> Iterator[Scratch]:
         _run.reset(token)
 
 
+@contextmanager
+def copies() -> Iterator[list[DataFrame]]:
+    """The copies that ``materialise`` writes meanwhile, for ``release`` once nothing reads them."""
+    made: list[DataFrame] = []
+    token = _noted.set((*_noted.get(), made))
+    try:
+        yield made
+    finally:
+        _noted.reset(token)
+
+
+def release(spent: Iterable[DataFrame], but: DataFrame | None = None) -> None:
+    """Delete copies that no plan reads any more, all except ``but``.
+
+    Those of a run that has a name stay until it ends: after a failure the next one reads them.
+    """
+    for copy in spent:
+        if copy is but or copy.tideline_path is None:
+            continue
+        path = copy.sparkSession._jvm.org.apache.hadoop.fs.Path(copy.tideline_path)
+        path.getFileSystem(copy.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def _shuffles_go(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of a query that runs meanwhile are removed when it ends, since its copy is whole."""
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
+
+
 def materialise(
     df: DataFrame, partition_by: str | None = None, observed: Observation | None = None
 ) -> DataFrame:
@@ -123,7 +163,8 @@ def materialise(
 
     The copy is columnar, so later readers still prune columns, push filters and
     (with ``partition_by``) skip whole directories, and a lost executor costs
-    one re-read instead of the whole lineage. In a ``scratch`` block the copy belongs
+    one re-read instead of the whole lineage. What its plan shuffled goes once the copy
+    is whole. In a ``scratch`` block the copy belongs
     to the run. ``observed`` is an observation of ``df``; its metrics stay on the result,
     under ``tideline_observed``, also where an earlier copy is read.
     """
@@ -142,7 +183,8 @@ def materialise(
         writer = df.write.mode("overwrite" if key else "errorifexists")
         if partition_by:
             writer = writer.partitionBy(partition_by)
-        writer.parquet(path)
+        with _shuffles_go(spark):
+            writer.option("compression", "zstd").parquet(path)
         entry = {"observed": observed.get if observed else {}}
         if key:
             run.record(key, entry)
@@ -152,4 +194,7 @@ def materialise(
         run.reused += 1
     copy = spark.read.schema(df.schema).parquet(path).select(*df.columns)
     copy.tideline_observed = entry["observed"]
+    copy.tideline_path = None if key else path
+    for made in _noted.get():
+        made.append(copy)
     return copy

@@ -14,6 +14,7 @@ from tideline import vocab
 from tideline.contracts import as_interval
 from tideline.functions.exprs import pick_fraction
 from tideline.functions.intervals import touches_window
+from tideline.session import materialise
 from tideline.sources import builders
 from tideline.sources.builders import Tables
 from tideline.sources.tables import load_raw_tables
@@ -46,47 +47,78 @@ class Adapter:
     end: str = "deleted_at"
     needs: tuple[str, ...] = ()
 
-    def intervals(self, tables: Tables) -> DataFrame:
+    def intervals(
+        self,
+        tables: Tables,
+        time_range: tuple[datetime, datetime] | None = None,
+        keep: Sequence[str] | None = None,
+    ) -> DataFrame:
+        """Rows of the tables; only those in ``time_range``, with no context but that in ``keep``.
+
+        Where the tables are ``cut``, a source that joins several is written once it has
+        those rows and columns, one row for all resources.
+        """
         ids = {
             "entity_id": F.col(self.entity),
             "start": F.col(self.start),
             "end": F.col(self.end),
             "metric": _column(self.metric),
-            **{dst: F.col(src) for src, dst in self.context.items()},
+            **{dst: F.col(src) for src, dst in self.context.items() if keep is None or dst in keep},
             **{c: F.col(c) for c in builders.scope_of(tables)},
         }
         sizes = {n: _column(e).cast("double") for n, e in self.resources.items()}
         wide = self.source(tables).select(
             *[c.alias(n) for n, c in {**ids, **sizes}.items()]
         )
+        if time_range is not None:
+            wide = in_window(wide, time_range)
+        if builders.is_cut(tables) and len(self.needs) > 1:
+            wide = materialise(wide)
         if not sizes:
             return as_interval(wide)  # fails: an interval needs resource and value
         return as_interval(wide.unpivot(list(ids), list(sizes), "resource", "value"))
 
 
-def to_intervals(tables: Tables, adapters: Sequence[Adapter]) -> DataFrame:
-    """Union of all adapters whose tables are there; missing context columns are NULL."""
+def to_intervals(
+    tables: Tables,
+    adapters: Sequence[Adapter],
+    time_range: tuple[datetime, datetime] | None = None,
+    keep: Sequence[str] | None = None,
+    cut: bool = False,
+) -> DataFrame:
+    """Union of all adapters whose tables are there; missing context columns are NULL.
+
+    ``time_range`` and ``keep`` as for ``Adapter.intervals``; with ``cut`` the adapters run
+    one after the other, and each leaves the shared folder a copy of what it joined.
+    """
+    if cut:
+        tables = builders.ScopedTables(tables, builders.scope_of(tables), cut)
     usable = []
     for adapter in adapters:
         absent = [t for t in adapter.needs if t not in tables]
         if absent:
             logger.warning("adapter %s left out, no %s", adapter.name, absent)
         else:
-            usable.append(adapter.intervals(tables))
+            usable.append(adapter.intervals(tables, time_range, keep))
     if not usable:
         raise ValueError("no adapter has its tables")
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), usable)
 
 
 def sites_to_intervals(
-    sites: Mapping[str, Tables], adapters: Sequence[Adapter], site_column: str = "site"
+    sites: Mapping[str, Tables],
+    adapters: Sequence[Adapter],
+    site_column: str = "site",
+    time_range: tuple[datetime, datetime] | None = None,
+    keep: Sequence[str] | None = None,
+    cut: bool = False,
 ) -> DataFrame:
     """Intervals of all sites in one plan, each row with its site.
 
     A raw table is scanned once per site and stacked with that of the others. An
     adapter reads the sites that have all its tables, so a table that one site
     lacks neither adds rows there nor leaves the others out. A site for which no
-    adapter has its tables fails, as it does alone.
+    adapter has its tables fails, as it does alone. The rest as for ``to_intervals``.
     """
     stacked: dict[tuple[str, tuple[str, ...]], DataFrame] = {}
 
@@ -106,8 +138,8 @@ def sites_to_intervals(
             continue
         served.update(names)
         keys = set.intersection(*(set(sites[n]) for n in names))
-        tables = builders.ScopedTables({k: stack(k, names) for k in keys}, (site_column,))
-        usable.append(adapter.intervals(tables))
+        tables = builders.ScopedTables({k: stack(k, names) for k in keys}, (site_column,), cut)
+        usable.append(adapter.intervals(tables, time_range, keep))
     if served != set(sites):
         raise ValueError(f"no adapter has its tables in {sorted(set(sites) - served)}")
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), usable)

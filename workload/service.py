@@ -12,7 +12,7 @@ from tideline.operators.clamp import AUDIT
 from tideline.operators.scan import asof_join
 from tideline.plans.jobs import process, report, valid_intervals
 from tideline.plans.usage import run_usage
-from tideline.session import scratch, shared_folder
+from tideline.session import copies, scratch, shared_folder
 from tideline.sources import adapters, builders
 from tideline.sources.legacy import legacy_usage_counts
 from workload.timeline import DERIVED, METRICS, hierarchy_ctes, plain
@@ -611,7 +611,9 @@ def _metrics_of(site: str) -> tuple[str, ...]:
 def _run_process(spark: SparkSession, sf_dir: str):
     folder = f"{shared_folder(spark)}/usage-{uuid.uuid4().hex}"
     with scratch(spark):
-        return process(spark, sites_raw(spark, sf_dir), SPEC, folder, "7d")
+        with copies() as made:
+            sites = sites_raw(spark, sf_dir)
+        return process(spark, sites, SPEC, folder, "7d", spent=made)
 
 
 @query("process_sites", _sites_sql(lambda s: _weekly_sql(s, _metrics_of(s)), "weekly"))
@@ -675,7 +677,9 @@ def report_sites(spark, sf_dir):
     folder = f"{shared_folder(spark)}/report-{uuid.uuid4().hex}"
     caches = {site: cache for site in SITES if site != _SMALL_SITE}
     with scratch(spark):
-        wide = report(spark, sites_raw(spark, sf_dir), caches, SPEC, "7d", folder)
+        with copies() as made:
+            sites = sites_raw(spark, sf_dir)
+        wide = report(spark, sites, caches, SPEC, "7d", folder, spent=made)
     return plain(wide, 6)
 
 
