@@ -8,11 +8,11 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tideline.contracts import INTERVAL, UsageSpec
-from tideline.operators.clamp import AUDIT
+from tideline.operators.clamp import AUDIT, HOT_PARENTS, KEYS, clamp_hierarchy
 from tideline.operators.scan import asof_join
 from tideline.plans.jobs import process, report, valid_intervals
 from tideline.plans.usage import run_usage
-from tideline.session import copies, scratch, shared_folder
+from tideline.session import copies, materialise, release, scratch, shared_folder
 from tideline.sources import adapters, builders
 from tideline.sources.legacy import legacy_usage_counts
 from workload.timeline import DERIVED, METRICS, hierarchy_ctes, plain
@@ -485,9 +485,9 @@ def diagonal_union(spark, sf_dir):
     return plain(both, 6)
 
 
-def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
+def registry(spark: SparkSession, sf_dir: str, **how) -> DataFrame:
     raw = Inputs(spark, sf_dir, kept=("li",)).raw()
-    rows = adapters.to_intervals(raw, adapters.REGISTRY)
+    rows = adapters.to_intervals(raw, adapters.REGISTRY, **how)
     return rows.withColumn("collector_type", F.lit("current"))
 
 
@@ -513,13 +513,14 @@ def registry_intervals(spark, sf_dir):
     ),
 )
 def clamp_service(spark, sf_dir):
-    from tideline.operators.clamp import HOT_PARENTS, KEYS, clamp_hierarchy
-    from tideline.session import materialise
-
-    rows = adapters.in_window(registry(spark, sf_dir), (START, END))
-    rows = materialise(rows.select(*INTERVAL, *KEYS))
-    clamped = clamp_hierarchy(rows, hot_limit=HOT_PARENTS, cut=True, keep=("metric", "resource"))
     by = ("metric", "resource", *AUDIT[2:])
+    with copies() as made:
+        rows = registry(spark, sf_dir, time_range=(START, END), keep=KEYS, cut=True)
+        rows = materialise(adapters.in_window(rows, (START, END)).select(*INTERVAL, *KEYS))
+        release(made, but=rows)
+        clamped = clamp_hierarchy(rows, hot_limit=HOT_PARENTS, cut=True, keep=("metric", "resource"))
+        clamped = materialise(clamped.select("entity_id", "start", "end", *by))
+    release(made, but=clamped)
     return clamped.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n"),
         F.countDistinct("entity_id").alias("entities"),
