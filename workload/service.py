@@ -548,8 +548,11 @@ def _weekly_sql(site: str = "north", metrics: tuple[str, ...] = METRICS + DERIVE
 
 @query("process_usage", sql(_weekly_sql(), "weekly"))
 def process_usage(spark, sf_dir):
-    rows = adapters.in_window(registry(spark, sf_dir), (START, END))
-    return plain(run_usage(valid_intervals(rows, "north", keep=SPEC.group_cols), SPEC, "7d"), 6)
+    with copies() as made:
+        rows = registry(spark, sf_dir, time_range=(START, END), keep=(*KEYS, *SPEC.group_cols), cut=True)
+    rows = adapters.in_window(rows, (START, END))
+    valid = valid_intervals(rows, "north", keep=SPEC.group_cols, spent=made)
+    return plain(run_usage(valid, SPEC, "7d"), 6)
 
 
 # Three sites with one set of hosts and devices each. Orders and all that hangs on them are
